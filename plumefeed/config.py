@@ -50,6 +50,16 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def spread(df: DataFrame, *key: str) -> DataFrame:
+    """Use the whole cluster for heavy row-wise work on a poorly split input.
+
+    An input with at least as many splits as the cluster has cores is left alone, so a
+    large table is never shuffled by this.
+    """
+    cores = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(cores, *key) if df.rdd.getNumPartitions() < cores else df
+
+
 @dataclass(frozen=True)
 class FeedSettings:
     """Knobs of the ranking; each can be set as ``spark.plumefeed.<name>``."""

@@ -101,7 +101,7 @@ def embed(text: Column, embedder: Embedder) -> Column:
             valid = texts.is_valid().to_numpy(zero_copy_only=False)
             yield to_list_array(_run(model, values, embedder.dim), valid)
 
-    return run(text)
+    return run.asNondeterministic()(text)
 
 
 def embed_mean(texts: Column, embedder: Embedder) -> Column:
@@ -126,4 +126,4 @@ def embed_mean(texts: Column, embedder: Embedder) -> Column:
                 pa.array(offsets), pa.array(mean.ravel()), mask=pa.array(n == 0)
             )
 
-    return run(texts)
+    return run.asNondeterministic()(texts)

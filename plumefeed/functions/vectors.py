@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from .text import let
+
 NEAR_ZERO = 1e-9
 
 
@@ -24,8 +26,8 @@ def cosine(a: Column, b: Column) -> Column:
 
 def l2_normalize(a: Column) -> Column:
     """Unit vector as floats; NULL when the norm is too close to zero."""
-    length = norm(a)
-    return F.when(
-        length >= NEAR_ZERO,
-        F.transform(a, lambda x: (x.cast("double") / length).cast("float")),
+    unit = let(
+        F.struct(a.alias("v"), norm(a).alias("n")),
+        lambda s: F.transform(s["v"], lambda x: (x.cast("double") / s["n"]).cast("float")),
     )
+    return F.when(norm(a) >= NEAR_ZERO, unit)

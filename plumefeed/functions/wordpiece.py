@@ -80,7 +80,8 @@ def decoder(spark, tokens: list[str]):
         for ids in batches:
             yield pieces.decode(ids)
 
-    return decode
+    # Keeps the planner from running the function once more for a filter on its result.
+    return decode.asNondeterministic()
 
 
 def join_tokens(tokens: Column) -> Column:
@@ -142,10 +143,14 @@ def encoder(spark, tokens: list[str], max_length: int | None = None, add_special
             ids = [None if v is None else e.ids for v, e in zip(values, encoded)]
             yield pa.array(ids, type=pa.list_(pa.int32()))
 
-    return encode
+    return encode.asNondeterministic()
 
 
 def _tokenizer(tokens: list[str], max_length: int | None):
+    import os
+
+    # Spark already runs one task per core.
+    os.environ["TOKENIZERS_PARALLELISM"] = "false"
     from tokenizers import Tokenizer, models, normalizers, pre_tokenizers, processors
 
     ids = {t: i for i, t in enumerate(tokens)}

@@ -14,6 +14,7 @@ from ..functions.wordpiece import decode_by_join, decoder, shared_vocab
 from ..schemas import CLEAN_POST
 
 MIN_TEXT_UNITS = 3
+DEL = "\x7f"
 
 
 def parse_lines(lines: DataFrame) -> DataFrame:
@@ -25,20 +26,25 @@ def parse_lines(lines: DataFrame) -> DataFrame:
     cols = F.col("_cols")
     field = lambda name: F.get(cols, F.lit(POSITION[name]))
     blank = lambda c: F.coalesce(jtrim(c), F.lit("")) == ""
-    items = F.filter(F.split(jtrim(field("text_tokens")), LIST_SEP), lambda x: x != "")
+    # Trimming takes separators off both ends, so no item of this split is empty; the
+    # cast ignores the same blanks around a number, and DEL besides.
+    items = F.split(jtrim(field("text_tokens")), f"{LIST_SEP}+")
+    number = lambda name, kind: F.when(
+        ~F.contains(field(name), F.lit(DEL)), field(name).try_cast(kind)
+    )
     fields = lines.withColumn("_cols", F.split("line", FIELD_SEP, -1)).select(
         *lines.columns,
         "_cols",
         jtrim(field("tweet_id")).alias("tweetId"),
-        F.transform(items, lambda x: jtrim(x).try_cast("int")).alias("textTokens"),
+        items.try_cast("array<int>").alias("textTokens"),
         split_list(field("hashtags")).alias("hashtags"),
         split_list(field("present_media")).alias("presentMedia"),
         jtrim(field("tweet_type")).alias("tweetType"),
         jtrim(field("language")).alias("language"),
-        jtrim(field("tweet_timestamp")).try_cast("bigint").alias("tweetTimestamp"),
+        number("tweet_timestamp", "bigint").alias("tweetTimestamp"),
         jtrim(field("engaged_with_user_id")).alias("authorId"),
         F.coalesce(
-            jtrim(field("engaged_with_user_follower_count")).try_cast("bigint"),
+            number("engaged_with_user_follower_count", "bigint"),
             F.lit(0).cast("bigint"),
         ).alias("authorFollowerCount"),
     )
@@ -48,7 +54,11 @@ def parse_lines(lines: DataFrame) -> DataFrame:
         .when(F.size(cols) < len(FEATURE_COLUMNS), F.lit("too few columns"))
         .when(c("tweetId") == "", F.lit("blank tweet_id"))
         .when(blank(field("text_tokens")), F.lit("blank text_tokens"))
-        .when(F.exists("textTokens", lambda x: x.isNull()), F.lit("token is not a number"))
+        .when(
+            F.contains(field("text_tokens"), F.lit(DEL))
+            | F.exists("textTokens", lambda x: x.isNull()),
+            F.lit("token is not a number"),
+        )
         .when(F.size("textTokens") == 0, F.lit("no tokens"))
         .when(c("language") == "", F.lit("blank language"))
         .when(c("tweetTimestamp").isNull(), F.lit("tweet_timestamp is not a number"))

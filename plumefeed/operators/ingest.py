@@ -34,9 +34,8 @@ def adapt_posts(rows: DataFrame, encode: Encode, ingest_ts: int) -> DataFrame:
     fallback = F.concat(F.lit(FALLBACK_ID_PREFIX), index, F.lit("-"), c("_text"))
     posts = (
         rows.withColumn("_text", t.clean_field(c("description")))
-        .where(c("_text") != "")
         .withColumn("text_tokens", encode(c("_text")))
-        .where(F.size("text_tokens") > 0)
+        .where((c("_text") != "") & (F.size("text_tokens") > 0))
     )
     zero = F.lit(0).cast("bigint")
     values = {

@@ -110,7 +110,7 @@ def tweet_type(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     ids = src.encode(spark, sf_dir)(F.col("text"))
-    docs = src.table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
+    docs = src.documents(spark, sf_dir).select("doc_id", ids.alias("ids"))
     return docs.select(
         "doc_id",
         F.size("ids").alias("n_tokens"),
@@ -121,14 +121,14 @@ def encode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 def decode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
     tokens = shared_vocab(src.vocab(spark, sf_dir))
     ids = src.encode(spark, sf_dir)(F.col("text"))
-    docs = src.table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
+    docs = src.documents(spark, sf_dir).select("doc_id", ids.alias("ids"))
     return docs.select("doc_id", decoder(spark, tokens)(F.col("ids")).alias("text"))
 
 
 def decode_tokens_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The way taken for a vocabulary too large to share."""
     ids = src.encode(spark, sf_dir)(F.col("text"))
-    docs = src.table(spark, sf_dir, "documents").select("doc_id", ids.alias("ids"))
+    docs = src.documents(spark, sf_dir).select("doc_id", ids.alias("ids"))
     return decode_by_join(docs, "doc_id", "ids", src.vocab(spark, sf_dir))
 
 
@@ -286,7 +286,7 @@ def index_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def embed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = src.table(spark, sf_dir, "documents")
+    docs = src.documents(spark, sf_dir)
     vectors = docs.select("doc_id", F.posexplode(embed(F.col("text"), EMBEDDER)).alias("component", "x"))
     return vectors.where("x <> 0").select("doc_id", "component", _round(F.col("x").cast("double")).alias("weight"))
 
@@ -357,7 +357,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select("userId", "point_id", *[_round(s).alias(s) for s in feed.SCORES])
+    return _scored(spark, sf_dir).select("userId", "position", "point_id", *[_round(s).alias(s) for s in feed.SCORES])
 
 
 def score_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -374,7 +374,7 @@ def score_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def content_words(spark: SparkSession, sf_dir: str) -> DataFrame:
     words = F.array_sort(t.content_words(F.col("text")))
-    return src.table(spark, sf_dir, "documents").select(
+    return src.documents(spark, sf_dir).select(
         "doc_id", F.size(words).alias("n_words"), F.array_join(words, " ").alias("words")
     )
 
@@ -392,7 +392,7 @@ def jaccard_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).withColumn("words", feed.word_text(F.col("text"))).drop("text")
+    return feed.with_words(_scored(spark, sf_dir), src.points(spark, sf_dir))
 
 
 def near_dup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import work_path
+from ..config import spread, work_path
 from ..constants import SPECIAL_TOKENS
 from ..functions.ids import point_id
 from ..functions.text import hashed
@@ -31,6 +31,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spread(table(spark, sf_dir, "documents"), "doc_id")
+
+
 def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     """Path of a derived folder, written on first use in this application."""
     key = (spark.sparkContext.applicationId, sf_dir, name)
@@ -57,7 +61,7 @@ def vocab(spark: SparkSession, sf_dir: str) -> DataFrame:
     def write(path: str) -> None:
         text = F.regexp_replace("text", r"\s", "")
         chars = (
-            table(spark, sf_dir, "documents")
+            documents(spark, sf_dir)
             .select(F.explode(F.array_distinct(F.split(text, ""))).alias("c"))
             .where("c <> ''")
             .distinct()
@@ -113,7 +117,7 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
             "engaging_user_account_creation": zero,
             "engagee_follows_engager": no,
         }
-        docs = table(spark, sf_dir, "documents")
+        docs = documents(spark, sf_dir)
         rows = docs.select("doc_id", *[c.alias(n) for n, c in fields.items()])
         line = feature_line(rows)
         short = F.regexp_replace(line, "\t[^\t]*$", "")
@@ -204,7 +208,7 @@ def export_path(spark: SparkSession, sf_dir: str) -> str:
 
 def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Clean posts of all documents, text taken directly."""
-    return table(spark, sf_dir, "documents").select(
+    return documents(spark, sf_dir).select(
         F.col("doc_id").cast("string").alias("tweetId"),
         "text",
         F.col("lang").alias("language"),
