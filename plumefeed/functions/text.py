@@ -90,8 +90,9 @@ def parse_timestamp(c: Column, ingest_ts: int) -> Column:
         full = F.when(t.rlike(_ISO), F.replace(t, F.lit(","), F.lit(".")))
         full = F.regexp_replace(full, r"^(\d{4}-\d{2}-\d{2})$", "$1T00")
         full = F.regexp_replace(full, r"^(.{13})(?=$|[+-])", "$1:00")
+        full = F.regexp_replace(full, r"^(.{16})(?=$|[+-])", "$1:00")
         # Whatever lacks an offset gets one; short offsets are completed.
-        full = F.regexp_replace(full, r"^(.{16}[^+-]*)$", "$1+00:00")
+        full = F.regexp_replace(full, r"^(.{19}[^+-]*)$", "$1+00:00")
         full = F.regexp_replace(full, r"([+-]\d{2})$", "$1:00")
         full = F.regexp_replace(full, r"([+-]\d{2})(\d{2})$", "$1:$2")
         return F.unix_seconds(F.try_to_timestamp(full))

@@ -33,6 +33,15 @@ def _round(c, digits: int = 6) -> Column:
     return F.round(F.col(c) if isinstance(c, str) else c, digits)
 
 
+def _scores() -> list[Column]:
+    """The three scores at fixed precision; a similarity has at most ten decimals."""
+    return [
+        _round("semanticSimilarity", 10).alias("semanticSimilarity"),
+        _round("recencyScore", 8).alias("recencyScore"),
+        _round("finalScore", 8).alias("finalScore"),
+    ]
+
+
 def _flat(df: DataFrame) -> DataFrame:
     """Lists as strings, so that rows compare by value."""
     lists = {f.name for f in df.schema if f.dataType.typeName() == "array"}
@@ -357,7 +366,7 @@ def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def candidate_scores(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _scored(spark, sf_dir).select("userId", "position", "point_id", *[_round(s).alias(s) for s in feed.SCORES])
+    return _scored(spark, sf_dir).select("userId", "position", "point_id", *_scores())
 
 
 def score_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -366,9 +375,9 @@ def score_functions(spark: SparkSession, sf_dir: str) -> DataFrame:
     cos = F.col("value") / 100 - 1
     return src.table(spark, sf_dir, "events").select(
         "event_id",
-        _round(normalize_similarity(cos)).alias("similarity"),
-        _round(recency_score(ts, src.EPOCH + 864000)).alias("recency"),
-        _round(final_score(cos, ts, src.EPOCH + 864000)).alias("score"),
+        _round(normalize_similarity(cos), 8).alias("similarity"),
+        _round(recency_score(ts, src.EPOCH + 864000), 8).alias("recency"),
+        _round(final_score(cos, ts, src.EPOCH + 864000), 8).alias("score"),
     )
 
 
@@ -397,7 +406,7 @@ def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def near_dup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
     kept = feed.drop_near_duplicates(_candidates(spark, sf_dir))
-    return kept.select("userId", "rank", "point_id", _round("finalScore").alias("finalScore"))
+    return kept.select("userId", "rank", "point_id", _round("finalScore", 8).alias("finalScore"))
 
 
 def near_dup_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -418,7 +427,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def feed_flagship(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = _feed(spark, sf_dir)
-    return _flat(rows.select(*[_round(c).alias(c) if c in feed.SCORES else c for c in rows.columns]))
+    return _flat(rows.select(*[c for c in rows.columns if c not in feed.SCORES], *_scores()))
 
 
 def feed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -432,7 +441,7 @@ def feed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
         src.AS_OF,
         src.DIM,
     )
-    return rows.select("userId", "rank", "tweetId", _round("finalScore").alias("finalScore"))
+    return rows.select("userId", "rank", "tweetId", _round("finalScore", 8).alias("finalScore"))
 
 
 def feed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
