@@ -18,6 +18,12 @@ def session(app_name: str = "plumefeed", **conf: str) -> SparkSession:
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.ui.enabled", "false")
+        # Dedup state outgrows the heap; this store spills to local disk and is
+        # checkpointed to the shared folder.
+        .config(
+            "spark.sql.streaming.stateStore.providerClass",
+            "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
+        )
     )
     for key, value in conf.items():
         builder = builder.config(key, value)

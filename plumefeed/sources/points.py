@@ -2,7 +2,8 @@
 
 Each batch is one folder ``log/batch=<id>``, written by overwrite, so a repeated batch
 replaces itself. Readers take the newest version of each point; ``compact`` folds the log
-into a new base, so reads stay cheap without rewriting the table for every batch.
+into a new base, so reads stay cheap without rewriting the table for every batch. A base
+counts once it is finished, so a lost job leaves the old one in force.
 """
 
 from __future__ import annotations
@@ -53,22 +54,26 @@ class PointTable:
         batch.write.mode("overwrite").parquet(f"{self.path}/log/batch={int(batch_id)}")
 
     def current(self) -> DataFrame:
-        """The newest version of every point."""
-        rows = self._rows()
-        if rows is None:
+        """The newest version of every point.
+
+        Only the batches since the last compaction are grouped; the base loses the points
+        they replace and is otherwise passed through.
+        """
+        base, log = self._base(), self._log()
+        if base is None and log is None:
             return self.spark.createDataFrame([], POINT)
-        return newest(rows, "point_id", "at").drop("at")
+        if log is None:
+            return base
+        fresh = newest(log, "point_id", "at").select(*POINT.fieldNames())
+        if base is None:
+            return fresh
+        return base.join(log.select("point_id"), "point_id", "left_anti").unionByName(fresh)
 
     def compact(self) -> None:
-        """Fold everything written so far into a new base."""
-        rows = self._rows()
-        if rows is None:
-            return
-        batches = self._numbers("log", "batch")
-        upto = max(batches + self._numbers("base", "upto"))
-        newest(rows, "point_id", "at").write.mode("overwrite").parquet(
-            f"{self.path}/base/upto={upto}"
-        )
+        """Fold all batches into a new base; nothing happens when there are none."""
+        batches = self._open_batches()
+        if batches:
+            self.current().write.mode("overwrite").parquet(f"{self.path}/base/upto={max(batches)}")
 
     def profile(self) -> DataFrame:
         """Number of points, smallest and largest dimension, metric."""
@@ -80,22 +85,29 @@ class PointTable:
             F.lit(METRIC).alias("metric"),
         )
 
-    def _rows(self) -> DataFrame | None:
-        """Newest complete base and the batches after it; ``at`` orders the versions."""
-        bases = self._numbers("base", "upto")
-        upto = max(bases) if bases else -1
-        batches = [b for b in self._numbers("log", "batch") if b > upto]
-        frames = []
-        if bases:
-            frames.append(self.spark.read.parquet(f"{self.path}/base/upto={upto}"))
-        if batches:
-            paths = [f"{self.path}/log/batch={b}" for b in batches]
-            log = self.spark.read.option("basePath", f"{self.path}/log").parquet(*paths)
-            at = F.struct(F.col("batch").cast("bigint").alias("batch"), "version")
-            frames.append(log.withColumn("at", at).drop("batch", "version"))
-        if not frames:
+    def _upto(self) -> int:
+        return max(self._numbers("base", "upto"), default=-1)
+
+    def _open_batches(self) -> list[int]:
+        """Finished batches newer than the base."""
+        upto = self._upto()
+        return [b for b in self._numbers("log", "batch") if b > upto]
+
+    def _base(self) -> DataFrame | None:
+        upto = self._upto()
+        if upto < 0:
             return None
-        return frames[0] if len(frames) == 1 else frames[0].unionByName(frames[1])
+        return self.spark.read.schema(POINT).parquet(f"{self.path}/base/upto={upto}")
+
+    def _log(self) -> DataFrame | None:
+        """Rows of the open batches; ``at`` orders the versions of a point."""
+        paths = [f"{self.path}/log/batch={b}" for b in self._open_batches()]
+        if not paths:
+            return None
+        rows = self.spark.read.option("basePath", f"{self.path}/log").parquet(*paths)
+        return rows.withColumn("at", F.struct(F.col("batch").cast("bigint"), "version")).drop(
+            "batch", "version"
+        )
 
     def _numbers(self, folder: str, key: str) -> list[int]:
         """Numbers of the finished ``<key>=<n>`` folders."""
