@@ -84,9 +84,17 @@ def ingest_csv(
     """Export rows to keyed feature records ``(key, value)``.
 
     ``offset`` skips source rows, ``limit`` counts records that come out; 0 means all.
+    With a limit only as many rows are adapted as it takes, not the whole export.
     """
-    rows = with_row_index(rows)
-    if offset:
-        rows = rows.where(F.col("row_index") >= offset)
-    posts = first_rows(adapt_posts(rows, encode, ingest_ts), limit)
+    rows = with_row_index(rows).where(F.col("row_index") >= offset)
+    adapt = lambda some: adapt_posts(some, encode, ingest_ts)
+    posts = adapt(rows)
+    reach = limit
+    while limit:
+        start = rows.where(F.col("row_index") < offset + reach)
+        posts = adapt(start)
+        if posts.count() >= limit or start.count() < reach:
+            break
+        reach *= 2
+    posts = first_rows(posts, limit)
     return posts.select(F.col("tweet_id").alias("key"), feature_line(posts).alias("value"))

@@ -445,7 +445,9 @@ def feed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
-    answers = feed.feed_responses(src.feed_requests(spark, sf_dir), _feed(spark, sf_dir))
+    good = profile.good_profiles(src.judged_profiles(spark, sf_dir))
+    served, _ = feed.split_requests(src.feed_requests(spark, sf_dir), good)
+    answers = feed.feed_responses(served, _feed(spark, sf_dir))
     items = F.transform("items", lambda i: F.concat_ws(":", i["rank"].cast("string"), i["tweetId"]))
     return answers.select("userId", "count", F.array_join(items, ",").alias("items"))
 

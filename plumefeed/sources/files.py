@@ -2,20 +2,38 @@
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..config import work_path
 from ..constants import FEATURE_COLUMNS, FIELD_SEP, POSITION
 from ..schemas import CSV_COLUMNS
 from .rows import first_rows, with_file_position, with_row_index
 
 
+def local_copy(spark: SparkSession, url: str) -> str:
+    """Stream a file from the web into the shared folder; its path there."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    conf = spark._jsc.hadoopConfiguration()
+    source = hadoop.Path(url)
+    target = hadoop.Path(work_path(spark, "downloads", os.urandom(6).hex(), "posts.csv"))
+    hadoop.FileUtil.copy(
+        source.getFileSystem(conf), source, target.getFileSystem(conf), target, False, conf
+    )
+    return target.toString()
+
+
 def read_posts_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Post export: header names, quoted multi-line fields, all strings, row positions.
+    """Post export at a path or web address: all strings, with row positions.
 
+    The header names the columns, quoted fields may run over several lines.
     Columns the file lacks read as NULL. A quoted field may hold line breaks, so one file
     is one task: large exports should come as many files.
     """
+    if path.startswith(("http://", "https://")):
+        path = local_copy(spark, path)
     raw = (
         spark.read.option("header", True)
         .option("multiLine", True)

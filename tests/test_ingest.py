@@ -271,3 +271,18 @@ def test_encode_then_decode(spark, toy_vocab):
     encode, decode = wordpiece.encoder(spark, tokens), wordpiece.decoder(spark, tokens)
     assert one(spark, lambda c: decode(encode(c)), "Spark ile verileri") == "Spark ile verileri"
     assert json.dumps(one(spark, encode, "veriler")) == "[2, 7, 8, 3]"
+
+
+def test_web_files_are_copied_to_the_shared_folder(spark, tmp_path):
+    path = write(tmp_path / "posts.csv", HEADER + "1,u,first,,,,,,,,,\n")
+    copied = files.local_copy(spark, f"file://{path}")
+    assert copied != path
+    assert rows(files.read_posts_csv(spark, copied), "id", "description") == [("1", "first")]
+
+
+def test_limit_adapts_no_more_rows_than_it_takes(spark, tmp_path):
+    body = "".join(f"{i},u,{'x' if i % 5 == 0 else ' '},,,,,,,,,\n" for i in range(100))
+    rows_ = files.read_posts_csv(spark, write(tmp_path / "posts.csv", HEADER + body))
+    got = ingest.ingest_csv(rows_, by_length, NOW, offset=3, limit=4)
+    assert [r[0] for r in rows(got, "key")] == ["10", "15", "20", "5"]
+    assert ingest.ingest_csv(rows_, by_length, NOW, offset=3, limit=500).count() == 19
