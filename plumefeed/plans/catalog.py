@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ..config import FeedSettings, work_path
+from ..config import FeedSettings, materialize, work_path
 from ..constants import FEATURE_COLUMNS
 from ..functions import text as t
 from ..functions.embedder import HashingEmbedder, embed
@@ -434,10 +434,13 @@ def feed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Feeds of all conversations over all documents, both embedded from their text."""
     profiles_ = _hashed_profiles(spark, sf_dir)
     posts = src.posts(spark, sf_dir).withColumn("point_id", point_id(F.col("tweetId")))
+    # The index is a stored table: every step of the feed reads it.
+    points = materialize(index.to_points(posts, EMBEDDER), "hashed-points")
+    profiles_ = materialize(profiles_, "hashed-profiles")
     rows = feed.build_feeds(
         profiles_.select("userId", F.lit(None).cast("int").alias("limit")),
         profiles_,
-        index.to_points(posts, EMBEDDER),
+        points,
         src.AS_OF,
         src.DIM,
     )
