@@ -17,6 +17,7 @@ from ..functions.text import hashed
 from ..functions.wordpiece import encoder, shared_vocab
 from ..operators.ingest import feature_line
 from ..operators.profile import mean_profiles
+from ..schemas import PROFILE
 from ..sources.files import read_vocab
 
 EPOCH = 1704067200  # 2024-01-01T00:00:00Z
@@ -242,9 +243,11 @@ def interests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def judged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The profile table with reject reasons, stored because every feed query reads it."""
-    judged = mean_profiles(interests(spark, sf_dir), DIM)
-    path = _once(spark, sf_dir, "profiles", judged.write.parquet)
-    return spark.read.schema(judged.schema).parquet(path)
+
+    def write(path: str) -> None:
+        mean_profiles(interests(spark, sf_dir), DIM).write.parquet(path)
+
+    return spark.read.schema(PROFILE).parquet(_once(spark, sf_dir, "profiles", write))
 
 
 def interest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -28,6 +28,16 @@ POINT = T.StructType(
     + [T.StructField("embedding", T.ArrayType(T.FloatType()))]
 )
 
+PROFILE = T.StructType(
+    [
+        T.StructField("userId", T.StringType()),
+        T.StructField("profile", T.ArrayType(T.FloatType())),
+        T.StructField("interestCount", T.IntegerType()),
+        T.StructField("vectorDim", T.IntegerType()),
+        T.StructField("reason", T.StringType()),
+    ]
+)
+
 # Columns the CSV adapter looks at; any of them may be missing from a file.
 CSV_COLUMNS = [
     "id",
