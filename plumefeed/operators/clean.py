@@ -89,11 +89,17 @@ def clean_lines(lines: DataFrame, vocab: DataFrame) -> DataFrame:
 
 
 def _decode_joined(parsed: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Decode each distinct token list once, then attach the text to its records."""
+    """Decode each distinct token list once, then attach the text to its records.
+
+    Rejected records have no list and stay out of the join, where they would all meet
+    under one NULL key.
+    """
     keyed = parsed.withColumn("_key", F.sha2(F.array_join("_ids", ","), 256))
-    lists = keyed.where(F.col("_key").isNotNull()).select("_key", "_ids")
-    texts = decode_by_join(lists.dropDuplicates(["_key"]), "_key", "_ids", vocab)
-    return keyed.join(texts, "_key", "left").drop("_key", "_ids")
+    lists = keyed.where(F.col("_key").isNotNull())
+    distinct = lists.select("_key", "_ids").dropDuplicates(["_key"])
+    texts = decode_by_join(distinct, "_key", "_ids", vocab)
+    rest = keyed.where(F.col("_key").isNull()).withColumn("text", F.lit(None).cast("string"))
+    return lists.join(texts, "_key").unionByName(rest).drop("_key", "_ids")
 
 
 def accepted(cleaned: DataFrame) -> DataFrame:

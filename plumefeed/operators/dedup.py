@@ -2,9 +2,14 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+SEEN_LIMIT = 1_000_000
+
 
 def dedup_posts(posts: DataFrame, key: str = "tweetId", order: str = "tweetTimestamp") -> DataFrame:
     """Keep the earliest row per id; equal times are settled by the other columns.
@@ -27,6 +32,28 @@ def newest(rows: DataFrame, key: str, version: str) -> DataFrame:
     )
 
 
+def drop_repeats_in_task(posts: DataFrame, *key: str) -> DataFrame:
+    """Drop rows whose key was already seen by the same task; the first one stays.
+
+    A stateful dedup sends every row to the task that owns its id. This thins out the
+    copies of a frequent id before that; it may miss some, so it replaces nothing.
+    """
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        seen: set = set()
+        for batch in batches:
+            if len(seen) > SEEN_LIMIT:
+                seen.clear()
+            keep = []
+            for i, k in enumerate(zip(*(batch.column(c).to_pylist() for c in key))):
+                if k not in seen:
+                    seen.add(k)
+                    keep.append(i)
+            yield batch if len(keep) == batch.num_rows else batch.take(pa.array(keep, pa.int64()))
+
+    return posts.mapInArrow(run, posts.schema)
+
+
 def dedup_stream(posts: DataFrame, mode: str = "exact", delay: str = "10 minutes") -> DataFrame:
     """Streaming dedup by ``tweetId``, first arrival wins.
 
@@ -34,12 +61,15 @@ def dedup_stream(posts: DataFrame, mode: str = "exact", delay: str = "10 minutes
     ever seen. ``bounded`` forgets ids once the watermark passes them and drops posts
     later than ``delay``, so its state stays small.
     """
-    timed = posts.withColumn("_event_time", F.timestamp_seconds("tweetTimestamp"))
+    if mode not in ("exact", "bounded"):
+        raise ValueError(f"unknown dedup mode {mode!r}")
+    # A late copy must not take the place of one in time, so there the time is part of the key.
+    key = ["tweetId"] if mode == "exact" else ["tweetId", "tweetTimestamp"]
+    thinned = drop_repeats_in_task(posts, *key)
+    timed = thinned.withColumn("_event_time", F.timestamp_seconds("tweetTimestamp"))
     timed = timed.withWatermark("_event_time", delay)
     if mode == "exact":
         kept = timed.dropDuplicates(["tweetId"])
-    elif mode == "bounded":
-        kept = timed.dropDuplicatesWithinWatermark(["tweetId"])
     else:
-        raise ValueError(f"unknown dedup mode {mode!r}")
+        kept = timed.dropDuplicatesWithinWatermark(["tweetId"])
     return kept.drop("_event_time")

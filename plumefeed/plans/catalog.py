@@ -14,6 +14,7 @@ from ..functions import text as t
 from ..functions.embedder import HashingEmbedder, embed
 from ..functions.ids import point_id
 from ..functions.ranking import final_score, normalize_similarity, recency_score
+from ..functions.vectors import cosine
 from ..functions.wordpiece import decode_by_join, decoder, shared_vocab
 from ..operators import clean, dedup, feed, index, ingest, monitor, profile
 from ..operators.knn import KnnSettings, knn
@@ -331,6 +332,14 @@ def profile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def interest_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """How well each interest vector fits the profile it became part of."""
+    good = profile.good_profiles(src.judged_profiles(spark, sf_dir))
+    rows = src.interests(spark, sf_dir).join(good, "userId")
+    fit = cosine(F.col("embedding"), F.col("profile"))
+    return rows.select("userId", "vec_id", _round(fit).alias("cosine"))
+
+
 def _hashed_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = profile.profile_requests(src.interest_requests(spark, sf_dir), EMBEDDER)
     return profile.latest_profiles(judged)
@@ -540,6 +549,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         profile_rejects,
         profiles_hashed,
         profile_count,
+        interest_cosine,
         knn_topk,
         knn_topk_cells,
         candidate_scores,

@@ -134,7 +134,7 @@ profiles AS (
 
 _PURCHASES = """
 vectors AS (
-  SELECT CAST(user_id AS VARCHAR) AS userId, embedding
+  SELECT CAST(user_id AS VARCHAR) AS userId, vec_id, embedding
   FROM events JOIN embeddings ON vec_id = event_id % (SELECT count(*) FROM embeddings)
   WHERE event_type = 'purchase')"""
 
@@ -360,6 +360,11 @@ SELECT CAST(conv_id AS VARCHAR) AS userId, CAST(n AS INTEGER) AS interestCount,
   CAST(component AS INTEGER) AS component, round(CAST(x AS DOUBLE), 5) AS weight
 FROM turn_profiles WHERE round(CAST(x AS DOUBLE), 5) <> 0""",
     "profile_count": f"WITH {_PURCHASES}, {_MEAN} SELECT count(*) AS profiles FROM profiles",
+    "interest_cosine": f"""WITH {_PURCHASES}, {_MEAN}
+SELECT userId, vec_id, round(list_inner_product(e, p)
+    / (sqrt(list_inner_product(e, e)) * sqrt(list_inner_product(p, p))), 6) AS cosine
+FROM (SELECT userId, vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST(profile AS DOUBLE[]) AS p
+      FROM vectors JOIN profiles USING (userId))""",
     "knn_topk": f"""WITH {_POINTS}, {_PURCHASES}, {_MEAN}, {_HITS}
 SELECT userId, point_id, cosine FROM hits""",
     "candidate_scores": f"""WITH {_BASE}

@@ -232,13 +232,13 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def interests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An interest vector per purchase: ``(userId, embedding)``."""
+    """An interest vector per purchase: ``(userId, vec_id, embedding)``."""
     vectors = table(spark, sf_dir, "embeddings")
     n = vectors.count()
     bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
     return bought.select(
         F.col("user_id").cast("string").alias("userId"), (F.col("event_id") % n).alias("vec_id")
-    ).join(vectors.select("vec_id", "embedding"), "vec_id").drop("vec_id")
+    ).join(vectors.select("vec_id", "embedding"), "vec_id")
 
 
 def judged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:

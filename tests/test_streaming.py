@@ -91,6 +91,25 @@ def test_bounded_mode_forgets_and_drops(spark, toy_vocab, tmp_path):
     assert max(r.state_rows for r in reported) < 4
 
 
+def test_copies_are_thinned_before_the_shuffle(spark):
+    df = spark.createDataFrame(
+        [("hot", 5, i) for i in range(500)] + [("b", 1, 0), ("b", 2, 0)],
+        "tweetId string, tweetTimestamp long, n int",
+    ).coalesce(1)
+    assert rows(dedup.drop_repeats_in_task(df, "tweetId")) == [("b", 1, 0), ("hot", 5, 0)]
+    both = dedup.drop_repeats_in_task(df, "tweetId", "tweetTimestamp")
+    assert rows(both) == [("b", 1, 0), ("b", 2, 0), ("hot", 5, 0)]
+
+
+def test_a_late_copy_does_not_hide_one_in_time(spark, toy_vocab, tmp_path):
+    base = str(tmp_path)
+    drop(f"{base}/in", 0, record("a", T0 + 7200))
+    drop(f"{base}/in", 1, record("b", T0 + 7300))
+    drop(f"{base}/in", 2, record("x", T0), record("x", T0 + 7400))
+    run(spark, toy_vocab, base, "bounded")
+    assert output(spark, base, "tweetId", "tweetTimestamp")[-1] == ("x", T0 + 7400)
+
+
 def test_index_stream_replays_safely(spark, tmp_path):
     base = str(tmp_path)
     table = PointTable(spark, f"{base}/points", 8)
