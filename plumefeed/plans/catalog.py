@@ -410,7 +410,8 @@ def jaccard_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return feed.with_words(_scored(spark, sf_dir), src.points(spark, sf_dir))
+    ranked = materialize(_scored(spark, sf_dir), "candidates")
+    return feed.with_words(ranked, src.points(spark, sf_dir))
 
 
 def near_dup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:

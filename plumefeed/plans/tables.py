@@ -252,7 +252,7 @@ def judged_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def interest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Each conversation turn as a request: its sentences are the interests."""
-    return table(spark, sf_dir, "conversations").select(
+    return spread(table(spark, sf_dir, "conversations"), "conv_id", "turn").select(
         F.col("conv_id").cast("string").alias("userId"),
         F.split("text", r"[.!?\n]+").alias("interests"),
         F.col("turn").alias("submitted_at"),
