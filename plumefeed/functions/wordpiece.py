@@ -125,11 +125,14 @@ def decode_by_join(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataF
     )
 
 
-def encoder(spark, tokens: list[str], max_length: int | None = None, add_special: bool = True):
+def encoder(spark, tokens: list[str] | None, max_length: int | None = None, add_special: bool = True):
     """A function Column(text) -> Column(ids): greedy longest match, cased.
 
-    ``max_length`` counts the two special tokens, as in the CSV adapter (128).
+    ``max_length`` counts the two special tokens, as in the CSV adapter (128). The
+    vocabulary must be one that can be shared; models keep theirs far below the bound.
     """
+    if tokens is None:
+        raise ValueError(f"encoding needs a vocabulary of at most {MAX_SHARED_TOKENS} tokens")
     shared = spark.sparkContext.broadcast(tokens)
 
     @F.arrow_udf("array<int>")
