@@ -27,15 +27,6 @@ def read_messages(messages: DataFrame) -> DataFrame:
     )
 
 
-def count_messages(decoded: DataFrame, name: str = "index") -> DataFrame:
-    """Attach consumed and skipped counts as an observed metric."""
-    return decoded.observe(
-        name,
-        F.count("*").alias("consumed"),
-        F.count_if(~F.col("indexable")).alias("skipped"),
-    )
-
-
 def payload(decoded: DataFrame) -> DataFrame:
     """Indexable rows with the defaults of missing fields filled in and their point id."""
     c, blank, zero = F.col, F.lit(""), F.lit(0).cast("bigint")
