@@ -208,3 +208,46 @@ def bounded_sample(rows: DataFrame, group: str, key: str, bound: int) -> DataFra
     share = F.lit(float(bound)) / F.col("__n")
     spot = F.pmod(F.xxhash64(F.col(key), F.lit(17)), F.lit(1 << 30)) / float(1 << 30)
     return rows.join(counts, group).where(spot < share).drop("__n")
+
+
+@dataclass
+class Marked:
+    """Some words of a batch with ``<`` and ``>`` around, in lower case, back to back."""
+
+    data: np.ndarray
+    first: np.ndarray  # where each word begins, one more entry than words
+
+    def grams(self, n: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
+        """Hashed bucket and word of every run of ``n`` bytes; 0 stands for whole words."""
+        codes = constants(61, 256)
+        if n == 0:
+            up, down = _powers(len(self.data) + 1)
+            total = np.zeros(len(self.data) + 1, np.uint64)
+            np.cumsum(codes[self.data] * up[: len(self.data)], out=total[1:])
+            whole = (total[self.first[1:]] - total[self.first[:-1]]) * down[self.first[:-1]]
+            return (mix(whole) >> np.uint64(64 - bits)).astype(np.int64), np.arange(len(whole))
+        size = max(0, len(self.data) - n + 1)
+        runs = np.full(size, n, np.uint64)
+        for j, factor in enumerate(constants(62, n)):
+            runs += codes[self.data[j : j + size]] * factor
+        owner = np.repeat(np.arange(len(self.first) - 1), np.diff(self.first))[:size]
+        inside = np.arange(size) + n <= self.first[owner + 1]
+        return (mix(runs[inside]) >> np.uint64(64 - bits)).astype(np.int64), owner[inside]
+
+
+def marked(words: Words, pick: np.ndarray) -> Marked:
+    size = words.end[pick] - words.start[pick]
+    first = np.zeros(len(pick) + 1, np.int64)
+    np.cumsum(size + 2, out=first[1:])
+    out = np.full(first[-1], ord("<"), np.uint8)
+    out[first[1:] - 1] = ord(">")
+    target = np.repeat(first[:-1] + 1, size) + _steps(size)
+    raw = words.data[np.repeat(words.start[pick], size) + _steps(size)]
+    out[target] = raw + ((raw >= 0x41) & (raw <= 0x5A)).astype(np.uint8) * 32
+    return Marked(out, first)
+
+
+def _steps(size: np.ndarray) -> np.ndarray:
+    """0, 1, ... for each size, one after the other."""
+    ends = np.cumsum(size)
+    return np.arange(ends[-1] if len(ends) else 0) - np.repeat(ends - size, size)
