@@ -35,13 +35,17 @@ from .textops import (
 CHUNKS, WIDTH, ERRORS = 10, 5, 1
 SYMBOLS = CHUNKS * WIDTH
 PLANES = 4
-# At a similarity of 0.8 some 9 symbols differ, give or take 3; beyond this many a pair is
-# not compared. Below it the full sets decide.
-REJECT = 30
+# Words of 64 bits of a set's parity sketch.
+PARITY = 16
+# At a similarity of 0.8 some 9 symbols differ, give or take 3; more than this many do in one
+# of three million pairs, and such a pair is not compared. Below it the full sets decide.
+REJECT = 24
 HUB_ROUNDS = 2
 
+_PLANE = [f"p{i}" for i in range(PLANES)]
+_ODD = [f"odd{i}" for i in range(PARITY)]
 _PRINT = "doc_id long, n_shingles long, d1 long, d2 long, sig binary, " + ", ".join(
-    f"p{i} long" for i in range(PLANES)
+    f"{c} long" for c in (*_PLANE, *_ODD)
 )
 
 
@@ -65,6 +69,19 @@ def _planes(symbols: np.ndarray) -> list[np.ndarray]:
     ]
 
 
+def _parities(sets: list[np.ndarray]) -> np.ndarray:
+    """For each bit of a sketch, whether an odd number of the set's members fall on it.
+
+    Two sketches never differ in more bits than the sets differ in members, so sets too far
+    apart can be told without being read.
+    """
+    width = 64 * PARITY
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    spot = (np.concatenate(sets) >> np.uint64(40)).astype(np.int64) % width
+    odd = np.bincount(row * width + spot, minlength=len(sets) * width).astype(np.uint8) & 1
+    return np.packbits(odd.reshape(len(sets), width), axis=1).view(np.int64)
+
+
 def _digests(sets: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
     """Two sums over each set that tell sets apart."""
     one = [mix(s).sum(dtype=np.uint64) for s in sets]
@@ -83,6 +100,7 @@ def prints(docs: DataFrame, width: int) -> DataFrame:
             if len(full):
                 symbols[full] = _signatures([sets[i] for i in full])
             d1, d2 = _digests(sets)
+            odd = _parities(sets)
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").cast(pa.int64()),
@@ -91,9 +109,9 @@ def prints(docs: DataFrame, width: int) -> DataFrame:
                     pa.array(signed(d2)),
                     pa.array([row.tobytes() for row in symbols], pa.binary()),
                     *[pa.array(signed(p)) for p in _planes(symbols)],
+                    *[pa.array(odd[:, i]) for i in range(PARITY)],
                 ],
-                names=["doc_id", "n_shingles", "d1", "d2", "sig"]
-                + [f"p{i}" for i in range(PLANES)],
+                names=["doc_id", "n_shingles", "d1", "d2", "sig", *_PLANE, *_ODD],
             )
 
     return docs.select("doc_id", "text").mapInArrow(run, _PRINT)
@@ -131,11 +149,20 @@ def _chance(a: str, b: str, threshold: float) -> Column:
         F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
     )
     differ = F.lit(0).cast("long")
-    for i in range(PLANES):
-        differ = differ.bitwiseOR(F.col(f"{a}.p{i}").bitwiseXOR(F.col(f"{b}.p{i}")))
+    for c in _PLANE:
+        differ = differ.bitwiseOR(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
     return sizes & (F.bit_count(differ) <= REJECT)
 
 
+def _near_parity(a: str, b: str, threshold: float) -> Column:
+    """Whether the parity sketches differ in no more bits than the sets' members may."""
+    members = F.col(f"{a}.n_shingles") + F.col(f"{b}.n_shingles")
+    differ = F.lit(0)
+    for c in _ODD:
+        differ = differ + F.bit_count(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
+    return differ <= members * ((1 - threshold) / (1 + threshold)) + 1e-6
+
+
 def _confirmed(
     pairs: DataFrame, docs: DataFrame, marks: DataFrame, width: int, percent: int
 ) -> DataFrame:
@@ -237,49 +264,45 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
     members = once.select("doc_id", *same).join(classes, same, "left")
     heads = classes.select(F.col("rep").alias("doc_id"))
     reps = materialize(once.join(heads, "doc_id", "left_semi"), "reps")
-    traits = reps.select("doc_id", "n_shingles", *[f"p{i}" for i in range(PLANES)])
+    traits = ["n_shingles", *_PLANE]
     marks = reps.select("doc_id", "d1")
 
     keys = _chunk_keys(reps)
     shared = keys.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
-    buckets = materialize(keys.join(shared, "key", "left_semi"), "buckets")
+    buckets = keys.join(shared, "key", "left_semi").join(reps.select("doc_id", *traits), "doc_id")
+    buckets = materialize(buckets, "buckets")
 
     labels = buckets.select("doc_id").distinct().withColumn("comp", F.col("doc_id"))
     labels = materialize(labels, "labels")
     links = tested = None
     for step in range(HUB_ROUNDS + 1):
         placed = buckets.join(labels, "doc_id")
-        spans = placed.groupBy("key").agg(
-            F.min(F.struct("comp", "doc_id")).alias("hub"), F.max("comp").alias("top")
-        )
-        open_keys = spans.where("hub.comp <> top")
+        hub = F.min(F.struct("comp", "doc_id", *traits)).alias("hub")
+        spans = placed.groupBy("key").agg(hub, F.max("comp").alias("top"))
+        spans = spans.where("hub.comp <> top")
+        met = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
+        met = met & _chance("x", "y", threshold)
         if step < HUB_ROUNDS:
-            found = placed.join(open_keys, "key").where("comp <> hub.comp")
-            found = found.select(
-                F.least("hub.doc_id", "doc_id").alias("a"),
-                F.greatest("hub.doc_id", "doc_id").alias("b"),
-                F.col("doc_id").alias("member"),
-            ).distinct()
+            x, y = spans.select("key", "hub.*").alias("x"), placed.alias("y")
         else:
-            open_rows = placed.join(open_keys.select("key"), "key", "left_semi")
-            open_rows = materialize(open_rows.join(traits, "doc_id"), "open")
-            x, y = open_rows.alias("x"), open_rows.alias("y")
-            across = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
-            found = x.join(y, across & _chance("x", "y", threshold))
-            found = found.select(
-                F.least("x.doc_id", "y.doc_id").alias("a"),
-                F.greatest("x.doc_id", "y.doc_id").alias("b"),
-            ).distinct()
-        if tested is not None:
-            found = found.join(tested, ["a", "b"], "left_anti")
-        if step < HUB_ROUNDS:
-            x, y = traits.alias("x"), traits.alias("y")
-            found = found.join(x, F.col("a") == F.col("x.doc_id"))
-            found = found.join(y, F.col("b") == F.col("y.doc_id"))
-            found = found.where(_chance("x", "y", threshold))
+            # What is left after the hubs: all pairs across components.
+            left = placed.join(spans.select("key"), "key", "left_semi")
+            left = materialize(left.join(reps.select("doc_id", *_ODD), "doc_id"), "open")
+            x, y = left.alias("x"), left.alias("y")
+            met = met & _near_parity("x", "y", threshold)
+        found = x.join(y, met).select(
+            F.least("x.doc_id", "y.doc_id").alias("a"),
+            F.greatest("x.doc_id", "y.doc_id").alias("b"),
+            F.col("y.doc_id").alias("member"),
+        )
+        if step < HUB_ROUNDS and tested is None:
             # One hub a member and round: the others are taken when it fails.
             best = F.min(F.struct("a", "b")).alias("pair")
             found = found.groupBy("member").agg(best).select("pair.a", "pair.b").distinct()
+        else:
+            found = found.select("a", "b").distinct()
+            if tested is not None:
+                found = found.join(tested, ["a", "b"], "left_anti")
         found = materialize(found, "pairs")
         if found.isEmpty():
             if step < HUB_ROUNDS:
