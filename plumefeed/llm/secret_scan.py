@@ -268,13 +268,12 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
 def digest(found: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:
     """Counts and digests of the base kinds, and all spans as text, of each document."""
     text = lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])
+    kinds = F.transform("secrets", lambda s: s["kind"])
     own = F.filter("secrets", lambda s: s["kind"].isin([r.kind for r in base]))
+    number = lambda kind: F.size(kinds) - F.size(F.array_remove(kinds, kind))
     return found.select(
         F.col("doc_id").cast("long").alias("doc_id"),
-        *[
-            F.size(F.filter("secrets", lambda s, k=r.kind: s["kind"] == k)).cast("long").alias(f"n_{r.kind}")
-            for r in base
-        ],
+        *[number(r.kind).cast("long").alias(f"n_{r.kind}") for r in base],
         F.sha2(F.array_join(F.transform(own, text), ","), 256).alias("base_sha256"),
         F.array_join(F.transform("secrets", text), ",").alias("spans"),
     )

@@ -125,7 +125,10 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None) -
     texts = fetch(docs.select("doc_id", "text").where(F.octet_length("text") <= MAX_BYTES), chosen)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rows = pa.Table.from_batches(list(batches)).sort_by([("doc_id", "ascending"), ("text", "ascending")])
+        held = list(batches)
+        if not held:
+            return
+        rows = pa.Table.from_batches(held).sort_by([("doc_id", "ascending"), ("text", "ascending")])
         text = rows.column("text").combine_chunks().cast(pa.large_string())
         toxic = rows.column("__toxic").to_numpy()
         value, bias = _train(text, toxic)
