@@ -31,7 +31,7 @@ BITS, DIM, PASSAGE = 17, 8, 6
 RUNS = (0, 3, 4, 5)
 # Bounds of what is learned from: documents per label, bytes of one document.
 PER_LABEL, MAX_BYTES = 1500, 200_000
-STEPS, MEAN_STEPS, RATE = 80, 5, 0.1
+STEPS, MEAN_STEPS, RATE = 80, 5, 0.3
 
 
 def _distinct(words: Words) -> tuple[np.ndarray, np.ndarray]:

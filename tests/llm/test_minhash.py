@@ -1,0 +1,102 @@
+"""Near-duplicate classes against all pairs in plain Python."""
+
+import random
+import re
+
+import numpy as np
+import pytest
+
+from plumefeed.llm import minhash
+
+ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+
+
+def shingles(text, width):
+    words = [w for w in re.split("[\x20\x09-\x0d]+", (text or "").translate(ASCII_LOWER)) if w]
+    if not words:
+        return frozenset()
+    return frozenset(tuple(words[i : i + width]) for i in range(max(1, len(words) - width + 1)))
+
+
+def brute(rows, width, percent=80):
+    sets = {i: shingles(t, width) for i, t in rows}
+    root = {i: i for i in sets}
+
+    def find(i):
+        while root[i] != i:
+            i = root[i]
+        return i
+
+    ids = sorted(sets)
+    for x, i in enumerate(ids):
+        for j in ids[x + 1 :]:
+            a, b = sets[i], sets[j]
+            both = len(a & b)
+            if both and 100 * both >= percent * (len(a) + len(b) - both):
+                low, high = sorted((find(i), find(j)))
+                root[high] = low
+    return {i: (len(sets[i]), find(i), find(i) == i) for i in ids}
+
+
+def found(df):
+    return {r.doc_id: (r.n_shingles, r.component_id, r.kept) for r in df.collect()}
+
+
+def edited(words, share, rng):
+    return [rng.choice("abcdefgh") * 3 + str(rng.randrange(99)) if rng.random() < share else w for w in words]
+
+
+@pytest.mark.parametrize("width", [2, 5])
+def test_equals_all_pairs(documents, width):
+    rng = random.Random(width)
+    rows = []
+    for group in range(12):
+        base = [f"{rng.choice('pqrst')}{rng.randrange(400)}" for _ in range(rng.choice([3, 30, 120]))]
+        for share in (0, 0, 0.01, 0.02, 0.03, 0.05, 0.1):
+            rows.append((len(rows) + 1, " ".join(edited(base, share, rng)), "en"))
+    # A group of near copies of each other, far larger than the rest.
+    base = [f"m{rng.randrange(300)}" for _ in range(80)]
+    for _ in range(150):
+        rows.append((len(rows) + 1, " ".join(edited(base, 0.04, rng)), "en"))
+    rows += [(len(rows) + k, t, "en") for k, t in enumerate([None, "", "one", "One", "two words"], 1)]
+    rng.shuffle(rows)
+    got = found(minhash.near_duplicates(documents(rows), width))
+    assert got == brute([r[:2] for r in rows], width)
+
+
+def test_odd_rows(odd, nothing):
+    got = found(minhash.near_duplicates(odd, 2))
+    assert set(got) == {*range(1, 11)}
+    assert got[2] == got[3][:1] + (2, True) == (0, 2, True)
+    assert got[4] == (0, 4, True)
+    assert got[6] == (1, 6, True)
+    assert got[8][1:] == (7, False) and got[7][1:] == (7, True)
+    assert got[9][1:] == (9, True)
+    assert found(minhash.near_duplicates(nothing, 2)) == {}
+
+
+def test_drop_keeps_columns_and_one_of_each(odd, nothing):
+    left = minhash.drop_near_duplicates(odd)
+    assert left.columns == odd.columns
+    ids = sorted((r.doc_id is None, r.doc_id or 0) for r in left.collect())
+    assert ids == [(False, i) for i in (1, 2, 3, 4, 5, 6, 7, 9, 10)] + [(True, 0)] * 2
+    assert minhash.drop_near_duplicates(nothing).collect() == []
+
+
+def test_components_of_chains_and_stars(spark):
+    chain = [(i, i + 1) for i in range(1, 40)]
+    star = [(100, i) for i in range(101, 180)] + [(179, 99)]
+    rows = [*chain, *star, (300, 200), (200, 300), (7, 7)]
+    got = {r.doc_id: r.comp for r in minhash.components(spark.createDataFrame(rows, "a long, b long")).collect()}
+    expected = {**{i: 1 for i in range(1, 41)}, **{i: 99 for i in range(99, 180)}, 200: 200, 300: 200}
+    assert got == expected
+
+
+def test_parity_sketch_never_exceeds_the_difference():
+    rng = np.random.default_rng(1)
+    for size in (1, 20, 3000):
+        a = np.unique(rng.integers(0, 2**63, size).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: size // 2], rng.integers(0, 2**63, 9).astype(np.uint64)]))
+        x, y = minhash._parities([a, b])
+        differ = sum(int(v).bit_count() for v in (x ^ y).view(np.uint64))
+        assert differ <= len(np.setxor1d(a, b))

@@ -1,0 +1,88 @@
+"""Length buckets against all choices of boundaries, and the rules of batches."""
+
+import random
+from itertools import combinations
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from plumefeed.llm import packing
+
+
+def padding(lengths, counts, ends):
+    return sum(c * (next(e for e in ends if e >= v) - v) for v, c in zip(lengths, counts))
+
+
+def test_boundaries_are_the_best():
+    rng = random.Random(9)
+    for _ in range(60):
+        lengths = sorted(rng.sample(range(1, 60), rng.randrange(1, 11)))
+        counts = [rng.choice([1, 2, 50]) for _ in lengths]
+        for k in (1, 2, 3, 4):
+            got = packing.best_boundaries(np.array(lengths), np.array(counts), k)
+            assert len(got) <= k and got[-1] == lengths[-1] and got == sorted(set(got))
+            choices = [
+                [*c, lengths[-1]]
+                for n in range(min(k, len(lengths)))
+                for c in combinations(lengths[:-1], n)
+            ]
+            best = min(padding(lengths, counts, c) for c in choices)
+            assert padding(lengths, counts, got) == best
+    assert packing.best_boundaries(np.array([], int), np.array([], int), 3) == []
+
+
+def check(rows, buckets, budget, align):
+    packed = [r for r in rows if r.n_tokens > 0]
+    assert all(r.bucket is r.padded_length is r.batch_id is r.slot is None for r in rows if not r.n_tokens)
+    ends = sorted({(r.bucket, r.padded_length) for r in packed})
+    assert len(ends) <= buckets and [b for b, _ in ends] == list(range(len(ends)))
+    sizes = [e for _, e in ends]
+    assert sizes == sorted(set(sizes)) and all(e % align == 0 for e in sizes)
+    batches = {}
+    for r in packed:
+        assert r.padded_length == min(e for e in sizes if e >= r.n_tokens)
+        batches.setdefault((r.bucket, r.batch_id), []).append(r.slot)
+    assert sorted(b for _, b in batches) == list(range(len(batches)))
+    for (bucket, batch), slots in batches.items():
+        assert sorted(slots) == list(range(len(slots)))
+        room = max(1, budget // sizes[bucket])
+        last = max(b for k, b in batches if k == bucket)
+        assert len(slots) == room or (batch == last and len(slots) < room)
+    return sizes
+
+
+def test_documents(spark, sf):
+    docs = spark.read.parquet(f"{sf}/documents.parquet")
+    rows = packing.pack(docs, buckets=5, budget=2048).collect()
+    texts = {r.doc_id: r.text for r in docs.collect()}
+    assert {r.doc_id: r.n_tokens for r in rows} == {i: len(t.split()) for i, t in texts.items()}
+    sizes = check(rows, 5, 2048, 8)
+    padded = np.unique([-(-r.n_tokens // 8) * 8 for r in rows], return_counts=True)
+    assert sizes == packing.best_boundaries(*padded, 5)
+
+
+def test_many_rows_of_one_length(spark, monkeypatch):
+    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+    docs = spark.range(2000).select(
+        F.col("id").alias("doc_id"),
+        F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("size"),
+    )
+    rows = packing.pack(docs, F.col("size"), buckets=4, budget=100, align=1).collect()
+    assert len(rows) == 2000
+    check(rows, 4, 100, 1)
+
+
+def test_odd_rows(odd, odd_rows, nothing):
+    rows = packing.pack(odd).collect()
+    assert len(rows) == len(odd_rows)
+    check(rows, 16, 16_384, 8)
+    long = next(r for r in rows if r.doc_id == 5)
+    assert long.n_tokens == 60_000 and long.slot == 0
+    assert packing.pack(nothing).collect() == []
+
+
+@pytest.mark.parametrize("text, words", [(None, 0), ("", 0), (" \t", 0), (" a b\nc ", 3)])
+def test_words(spark, text, words):
+    df = spark.createDataFrame([(text,)], "text string")
+    assert df.select(packing.word_count(F.col("text")).alias("n")).first().n == words
