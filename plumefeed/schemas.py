@@ -18,8 +18,15 @@ CLEAN_POST = T.StructType(
     ]
 )
 
+# Order of arrival: the offset of a Kafka topic, or publishing and place in a folder topic.
+VERSION = T.DecimalType(38, 0)
+
 MESSAGE = T.StructType(
-    [T.StructField("key", T.StringType()), T.StructField("value", T.StringType())]
+    [
+        T.StructField("key", T.StringType()),
+        T.StructField("value", T.StringType()),
+        T.StructField("version", VERSION),
+    ]
 )
 
 POINT = T.StructType(

@@ -7,12 +7,14 @@ place, so both serve the same code.
 
 from __future__ import annotations
 
+import time
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import DataStreamWriter
 
 from ..functions.ids import partition_of
-from ..schemas import MESSAGE
+from ..schemas import MESSAGE, VERSION
 
 RAW_TOPIC = "posts.raw"
 CLEAN_TOPIC = "posts.cleaned"
@@ -35,7 +37,7 @@ def kafka_messages(
     return _kafka(spark, servers, topic, max_offsets).select(
         F.col("key").cast("string").alias("key"),
         F.col("value").cast("string").alias("value"),
-        F.col("offset").alias("version"),
+        F.col("offset").cast(VERSION).alias("version"),
     )
 
 
@@ -61,7 +63,7 @@ def file_lines(spark: SparkSession, path: str, files_per_trigger: int | None = N
 def file_messages(
     spark: SparkSession, path: str, files_per_trigger: int | None = None
 ) -> DataFrame:
-    """Keyed messages of a folder of parquet files."""
+    """Keyed messages of a folder of parquet files; NULL versions where they have none."""
     reader = spark.readStream.schema(MESSAGE)
     if files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", files_per_trigger)
@@ -97,7 +99,15 @@ def publish(messages: DataFrame, path: str, partitions: int = 3) -> None:
     """Write a batch of keyed messages to a topic folder, equal keys in one partition.
 
     Only the partition number is derived; rows are not shuffled by key, so a frequent key
-    makes no oversized task.
+    makes no oversized task. ``version`` tells the order of arrival: a later publishing is
+    higher, and within one the rows go in the order of the frame.
     """
-    tagged = messages.select("key", "value", partition_of(F.col("key"), partitions).alias("partition"))
+    published = F.lit(time.time_ns() // 1000).cast(VERSION) * F.lit(1 << 62).cast(VERSION)
+    place = F.monotonically_increasing_id().cast(VERSION)
+    tagged = messages.select(
+        "key",
+        "value",
+        (published + place).cast(VERSION).alias("version"),
+        partition_of(F.col("key"), partitions).alias("partition"),
+    )
     tagged.write.mode("append").partitionBy("partition").parquet(path)

@@ -61,6 +61,7 @@ def test_upsert_is_idempotent_and_last_wins(spark, tmp_path):
     first = points(spark, post("a", "one"), post("b", "two"), post("a", "three"))
     t.upsert(first, 0, "version")
     t.upsert(first, 0, "version")
+    t.upsert(first.limit(0), 0, "version", "other")
     assert rows(t.current(), "tweetId", "text") == [("a", "three"), ("b", "two")]
     t.upsert(points(spark, post("b", "changed")), 1, "version")
     expected = [("a", "three"), ("b", "changed")]

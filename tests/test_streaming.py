@@ -129,9 +129,56 @@ def test_index_stream_replays_safely(spark, tmp_path):
     publish(("a", value("a", "changed")), ("c", value("c", "three")))
     go(f"{base}/cp")
     assert rows(table.current(), "tweetId", "text") == [("a", "changed"), ("b", "two"), ("c", "three")]
-    # Everything again from the start into the same batches.
+    # Everything again from the start: batches of the same numbers, but of another query.
+    newest = rows(table.current(), "tweetId", "text")
     go(f"{base}/cp-new")
-    assert sorted(r[0] for r in rows(table.current(), "tweetId")) == ["a", "b", "c"]
+    assert rows(table.current(), "tweetId", "text") == newest
+    table.compact()
+    publish(("d", value("d", "four")), ("b", value("b", "last")))
+    go(f"{base}/cp-third")
+    newest = [("a", "changed"), ("b", "last"), ("c", "three"), ("d", "four")]
+    assert rows(table.current(), "tweetId", "text") == newest
+    go(f"{base}/cp")
+    assert rows(table.current(), "tweetId", "text") == newest
+
+
+def test_the_last_of_a_batch_wins_whatever_its_text(spark, tmp_path):
+    base = str(tmp_path)
+    table = PointTable(spark, f"{base}/points", 8)
+    items = [("a", json.dumps({"tweetId": "a", "text": text})) for text in ("zzz first", "mmm", "aaa last")]
+    streams.publish(spark.createDataFrame(items, "key string, value string").coalesce(1), f"{base}/topic")
+    messages = streams.file_messages(spark, f"{base}/topic")
+    jobs.run_available(jobs.index_stream(messages, table, HashingEmbedder(8), f"{base}/cp"))
+    assert rows(table.current(), "tweetId", "text") == [("a", "aaa last")]
+
+
+def test_streams_with_their_own_checkpoints_share_a_table(spark, tmp_path):
+    base = str(tmp_path)
+    table = PointTable(spark, f"{base}/points", 8)
+
+    def feed(topic, *items):
+        rows_ = [(i, json.dumps({"tweetId": i, "text": text})) for i, text in items]
+        streams.publish(spark.createDataFrame(rows_, "key string, value string"), f"{base}/{topic}")
+        messages = streams.file_messages(spark, f"{base}/{topic}")
+        jobs.run_available(jobs.index_stream(messages, table, HashingEmbedder(8), f"{base}/cp-{topic}"))
+
+    feed("one", ("a", "a1"), ("b", "b1"))
+    feed("one", ("c", "c1"))
+    feed("two", ("d", "d2"), ("b", "b2"))
+    expected = [("a", "a1"), ("b", "b2"), ("c", "c1"), ("d", "d2")]
+    assert rows(table.current(), "tweetId", "text") == expected
+    table.compact()
+    assert rows(table.current(), "tweetId", "text") == expected
+    feed("three", ("e", "e3"))
+    feed("one", ("b", "b4"))
+    table.compact()
+    table.compact()
+    feed("two", ("f", "f2"))
+    table.compact()
+    expected = [("a", "a1"), ("b", "b4"), ("c", "c1"), ("d", "d2"), ("e", "e3"), ("f", "f2")]
+    assert rows(table.current(), "tweetId", "text") == expected
+    # Folded commits are gone once no reader of the base before needs them.
+    assert len(os.listdir(f"{base}/points/log")) == 1
 
 
 def test_published_keys_share_a_partition(spark, tmp_path):
