@@ -19,6 +19,16 @@ _ISO = (
 )
 
 
+# A value as JSON has it: double quotes, and nothing behind the end.
+_STRICT = {"allowSingleQuotes": "false"}
+
+
+def _json(text: Column, kind: str) -> Column:
+    """The JSON value that is all of ``text``; NULL if there is something else."""
+    boxed = F.from_json(F.concat(F.lit("["), text, F.lit("]")), f"array<{kind}>", _STRICT)
+    return let(boxed, lambda found: F.when(F.size(found) == 1, F.get(found, F.lit(0))))
+
+
 def jtrim(c: Column) -> Column:
     """Strip every character up to U+0020 from both ends, 0x01 included."""
     return F.btrim(c, F.lit(JAVA_WHITESPACE))
@@ -53,17 +63,12 @@ def parse_list(c: Column) -> Column:
     """A list field: JSON array, JSON string, or comma separated text."""
 
     def parse(t: Column) -> Column:
-        as_array = F.when(
-            t.startswith("[") & t.endswith("]"), F.from_json(t, "array<string>")
-        )
-        boxed = F.when(
-            t.startswith('"') & t.endswith('"'),
-            F.from_json(F.concat(F.lit("["), t, F.lit("]")), "array<string>"),
-        )
+        as_array = F.when(t.startswith("[") & t.endswith("]"), _json(t, "array<string>"))
+        as_text = F.when(t.startswith('"') & t.endswith('"'), _json(t, "string"))
         return F.when(t == "", F.array().cast("array<string>")).otherwise(
             F.coalesce(
                 F.transform(_filled(F.transform(as_array, clean_field)), _bare),
-                let(boxed, _only_item),
+                F.when(as_text.isNotNull(), _filled(F.array(_bare(clean_field(as_text))))),
                 F.transform(_filled(F.transform(F.split(t, ","), strip)), _bare),
             )
         )
@@ -75,11 +80,6 @@ def _filled(items: Column) -> Column:
     return F.filter(items, lambda x: x != "")
 
 
-def _only_item(boxed: Column) -> Column:
-    """The item of a one-item list, again a list; empty when blank, NULL for other sizes."""
-    return F.when(F.size(boxed) == 1, _filled(F.transform(F.transform(boxed, clean_field), _bare)))
-
-
 def parse_timestamp(c: Column, ingest_ts: int) -> Column:
     """ISO-8601 text to whole seconds; anything else becomes the ingest time.
 
@@ -125,12 +125,8 @@ def has_content(c: Column) -> Column:
         return (clean_field(v) != "") & ~empty
 
     def check(t: Column) -> Column:
-        as_map = F.when(
-            t.startswith("{") & t.endswith("}"), F.from_json(t, "map<string,string>")
-        )
-        as_array = F.when(
-            t.startswith("[") & t.endswith("]"), F.from_json(t, "array<string>")
-        )
+        as_map = F.when(t.startswith("{") & t.endswith("}"), _json(t, "map<string,string>"))
+        as_array = F.when(t.startswith("[") & t.endswith("]"), _json(t, "array<string>"))
         return F.when(t == "", F.lit(False)).otherwise(
             F.coalesce(
                 F.exists(F.map_values(as_map), filled), F.exists(as_array, filled), F.lit(True)

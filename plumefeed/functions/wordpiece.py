@@ -1,8 +1,8 @@
 """WordPiece text to ids and back, over a vocabulary table ``(token_id, token)``.
 
-A vocabulary up to ``MAX_SHARED_TOKENS`` entries is shared with every task and both
-directions run in place, without a shuffle. Decoding works with any vocabulary: beyond
-the bound ids are looked up by a join whose frequent ids are spread over salts.
+A vocabulary has at most ``MAX_SHARED_TOKENS`` entries, is shared with every task, and both
+directions run in place, without a shuffle. ``decode_by_join`` looks ids up by a join whose
+frequent ids are spread over salts; it is there to be called, nothing changes over to it.
 """
 
 from __future__ import annotations
@@ -22,8 +22,8 @@ MAX_SHARED_TOKENS = 2_000_000
 JOIN_SALTS = 16
 
 
-def shared_vocab(vocab: DataFrame, limit: int = MAX_SHARED_TOKENS) -> list[str] | None:
-    """The tokens in id order, or None when there are more than ``limit``.
+def shared_vocab(vocab: DataFrame, limit: int = MAX_SHARED_TOKENS) -> list[str]:
+    """The tokens in id order; more than ``limit`` are an error.
 
     Reads at most ``limit + 1`` rows whatever the size of the table.
     """
@@ -31,7 +31,7 @@ def shared_vocab(vocab: DataFrame, limit: int = MAX_SHARED_TOKENS) -> list[str]
     if not rows:
         raise ValueError("the vocabulary is empty")
     if len(rows) > limit:
-        return None
+        raise ValueError(f"the vocabulary has more than {limit} tokens")
     rows.sort(key=lambda r: r.token_id)
     if rows[-1].token_id != len(rows) - 1:
         raise ValueError("vocabulary ids must run from 0 without gaps")
@@ -104,7 +104,7 @@ def join_tokens(tokens: Column) -> Column:
 
 
 def decode_by_join(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataFrame:
-    """``(key, text)`` for a vocabulary too large to share.
+    """``(key, text)`` by a join with the vocabulary.
 
     ``key`` must identify a row. A frequent id is spread over ``JOIN_SALTS`` join keys,
     the vocabulary is repeated once per salt.
@@ -125,14 +125,11 @@ def decode_by_join(df: DataFrame, key: str, ids: str, vocab: DataFrame) -> DataF
     )
 
 
-def encoder(spark, tokens: list[str] | None, max_length: int | None = None, add_special: bool = True):
+def encoder(spark, tokens: list[str], max_length: int | None = None, add_special: bool = True):
     """A function Column(text) -> Column(ids): greedy longest match, cased.
 
-    ``max_length`` counts the two special tokens, as in the CSV adapter (128). The
-    vocabulary must be one that can be shared; models keep theirs far below the bound.
+    ``max_length`` counts the two special tokens, as in the CSV adapter (128).
     """
-    if tokens is None:
-        raise ValueError(f"encoding needs a vocabulary of at most {MAX_SHARED_TOKENS} tokens")
     shared = spark.sparkContext.broadcast(tokens)
 
     @F.arrow_udf("array<int>")

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..constants import FEATURE_COLUMNS, FIELD_SEP, LIST_SEP, POSITION
 from ..functions.text import jtrim, split_list, units
-from ..functions.wordpiece import decode_by_join, decoder, shared_vocab
+from ..functions.wordpiece import decoder, shared_vocab
 from ..schemas import CLEAN_POST
 
 MIN_TEXT_UNITS = 3
@@ -70,38 +70,17 @@ def parse_lines(lines: DataFrame) -> DataFrame:
 def clean_lines(lines: DataFrame, vocab: DataFrame) -> DataFrame:
     """The clean-post columns of every ``line``, with ``line`` and ``reason``.
 
-    Decoding runs in place with a shared vocabulary. One too large to share is joined,
-    which a stream cannot do without regrouping, so there it is an error.
+    Decoding runs in place with a shared vocabulary, in batches and streams alike.
     """
     parsed = parse_lines(lines)
     good = F.when(F.col("reason").isNull(), F.col("textTokens"))
-    tokens = shared_vocab(vocab)
-    if tokens is not None:
-        decoded = parsed.withColumn("text", decoder(lines.sparkSession, tokens)(good))
-    elif lines.isStreaming:
-        raise ValueError("the vocabulary is too large to share with a stream")
-    else:
-        decoded = _decode_joined(parsed.withColumn("_ids", good), vocab)
+    decoded = parsed.withColumn("text", decoder(lines.sparkSession, shared_vocab(vocab))(good))
     short = F.col("reason").isNull() & (units(F.col("text")) < MIN_TEXT_UNITS)
     return decoded.withColumn("hasMedia", F.size("presentMedia") > 0).withColumn(
         "reason", F.when(short, F.lit("text too short")).otherwise(F.col("reason"))
     )
 
 
-def _decode_joined(parsed: DataFrame, vocab: DataFrame) -> DataFrame:
-    """Decode each distinct token list once, then attach the text to its records.
-
-    Rejected records have no list and stay out of the join, where they would all meet
-    under one NULL key.
-    """
-    keyed = parsed.withColumn("_key", F.sha2(F.array_join("_ids", ","), 256))
-    lists = keyed.where(F.col("_key").isNotNull())
-    distinct = lists.select("_key", "_ids").dropDuplicates(["_key"])
-    texts = decode_by_join(distinct, "_key", "_ids", vocab)
-    rest = keyed.where(F.col("_key").isNull()).withColumn("text", F.lit(None).cast("string"))
-    return lists.join(texts, "_key").unionByName(rest).drop("_key", "_ids")
-
-
 def accepted(cleaned: DataFrame) -> DataFrame:
     return cleaned.where(F.col("reason").isNull()).select(*CLEAN_POST.fieldNames())
 

@@ -22,6 +22,10 @@ from ..sources.rows import first_rows, with_row_index
 Encode = Callable[[Column], Column]
 
 
+def has_text() -> Column:
+    return t.clean_field(F.col("description")) != ""
+
+
 def adapt_posts(rows: DataFrame, encode: Encode, ingest_ts: int) -> DataFrame:
     """The 20 feature columns, typed, of every usable export row.
 
@@ -84,17 +88,10 @@ def ingest_csv(
     """Export rows to keyed feature records ``(key, value)``.
 
     ``offset`` skips source rows, ``limit`` counts records that come out; 0 means all.
-    With a limit only as many rows are adapted as it takes, not the whole export.
+    Rows without text give no record, so the limit is cut before anything is encoded.
     """
     rows = with_row_index(rows).where(F.col("row_index") >= offset)
-    adapt = lambda some: adapt_posts(some, encode, ingest_ts)
-    posts = adapt(rows)
-    reach = limit
-    while limit:
-        start = rows.where(F.col("row_index") < offset + reach)
-        posts = adapt(start)
-        if posts.count() >= limit or start.count() < reach:
-            break
-        reach *= 2
-    posts = first_rows(posts, limit)
+    if limit:
+        rows = first_rows(rows.where(has_text()), limit)
+    posts = adapt_posts(rows, encode, ingest_ts)
     return posts.select(F.col("tweet_id").alias("key"), feature_line(posts).alias("value"))

@@ -26,8 +26,7 @@ from ..streaming.progress import progress_frame
 from . import tables as src
 
 EMBEDDER = HashingEmbedder(src.DIM)
-# Forces the way taken when users or points are too many to share.
-CELLS = KnnSettings(scan_max_bytes=0)
+SCAN, CELLS = KnnSettings(way="scan"), KnnSettings(way="cells")
 
 
 def _round(c, digits: int = 6) -> Column:
@@ -136,7 +135,7 @@ def decode_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def decode_tokens_joined(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The way taken for a vocabulary too large to share."""
+    """Decoding by a join with the vocabulary."""
     ids = src.encode(spark, sf_dir)(F.col("text"))
     docs = src.documents(spark, sf_dir).select("doc_id", ids.alias("ids"))
     return decode_by_join(docs, "doc_id", "ids", src.vocab(spark, sf_dir))
@@ -207,19 +206,33 @@ def dedup_stream_exact(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def dedup_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return _flat(_stream_run(spark, sf_dir, "bounded")[1])
+    """Three deliveries in the order of event time, each a run of the stream.
+
+    The last one also brings the first one again and posts that were held back from it: all
+    of them are behind the watermark by then and are dropped.
+    """
+    base = work_path(spark, "streams", uuid.uuid4().hex)
+    vocab = src.vocab(spark, sf_dir)
+    for delivery in src.deliveries(spark, sf_dir):
+        delivery.write.mode("append").text(f"{base}/in")
+        posts = jobs.clean_stream(streams.file_lines(spark, f"{base}/in"), vocab, dedup="bounded")
+        jobs.run_available(streams.file_sink(posts, f"{base}/out", f"{base}/checkpoint"))
+    return _flat(spark.read.schema(posts.schema).parquet(f"{base}/out"))
 
 
 def progress_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return progress_frame(spark, _stream_run(spark, sf_dir, "exact", 4)[0])
+    """Totals over the micro-batches of a run."""
+    batches = progress_frame(spark, _stream_run(spark, sf_dir, "exact", 4)[0])
+    totals = ["input_rows", "accepted", "rejected", "late_rows"]
+    return batches.agg(*[F.sum(c).alias(c) for c in totals])
 
 
 def rate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Paced replay: a fixed number of files per micro-batch, rows per batch reported."""
+    """A replay with a cap on the files of a micro-batch: rows of all batches together."""
     base = work_path(spark, "streams", uuid.uuid4().hex)
     lines = streams.file_lines(spark, src.raw_path(spark, sf_dir), files_per_trigger=4)
     sink = streams.file_sink(lines, f"{base}/out", f"{base}/checkpoint")
-    return progress_frame(spark, jobs.run_available(sink)).select("batch_id", "input_rows")
+    return progress_frame(spark, jobs.run_available(sink)).agg(F.sum("input_rows").alias("input_rows"))
 
 
 # --- index ----------------------------------------------------------------------------
@@ -281,6 +294,30 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.current().select("tweetId", "point_id", "text", "tweetTimestamp", "language")
 
 
+def upsert_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """User and assistant turns as two topics, indexed by streams of their own.
+
+    The table is compacted in between; then the first topic gets a few more messages.
+    """
+    turns = src.table(spark, sf_dir, "conversations")
+    base = work_path(spark, "points", uuid.uuid4().hex)
+    found = PointTable(spark, f"{base}/table", src.DIM)
+
+    def feed_topic(role: str, rows: DataFrame) -> None:
+        value = F.to_json(F.struct(F.col("conv_id").cast("string").alias("tweetId"), "text"))
+        ordered = rows.repartition("conv_id").sortWithinPartitions("conv_id", "turn")
+        messages = ordered.select(F.col("conv_id").cast("string").alias("key"), value.alias("value"))
+        streams.publish(messages, f"{base}/{role}")
+        topic = streams.file_messages(spark, f"{base}/{role}")
+        jobs.run_available(jobs.index_stream(topic, found, EMBEDDER, f"{base}/checkpoint-{role}"))
+
+    feed_topic("user", turns.where("role = 'user'"))
+    feed_topic("assistant", turns.where("role = 'assistant'"))
+    found.compact()
+    feed_topic("user", turns.where("role = 'system' and conv_id % 2 = 0"))
+    return found.current().select("tweetId", "point_id", "text")
+
+
 def index_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _conversation_table(spark, sf_dir).profile()
 
@@ -332,6 +369,14 @@ def profile_rejects(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def profile_lengths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every fifth interest has a component less: profiles with one are turned away."""
+    short = F.when(F.col("vec_id") % 5 == 0, F.slice("embedding", 1, src.DIM - 1))
+    rows = src.interests(spark, sf_dir).withColumn("embedding", F.coalesce(short, "embedding"))
+    judged = profile.mean_profiles(rows, src.DIM)
+    return profile.interests_response(judged).select("userId", "interestCount", "message")
+
+
 def interest_cosine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How well each interest vector fits the profile it became part of."""
     good = profile.good_profiles(src.judged_profiles(spark, sf_dir))
@@ -357,7 +402,7 @@ def profile_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- feed -----------------------------------------------------------------------------
 
 
-def _hits(spark: SparkSession, sf_dir: str, search: KnnSettings = KnnSettings()) -> DataFrame:
+def _hits(spark: SparkSession, sf_dir: str, search: KnnSettings = SCAN) -> DataFrame:
     users = profile.good_profiles(src.judged_profiles(spark, sf_dir))
     return knn(users, src.points(spark, sf_dir), FeedSettings().pool_size, src.DIM, search)
 
@@ -448,7 +493,9 @@ def feed_hashed(spark: SparkSession, sf_dir: str) -> DataFrame:
     points = materialize(index.to_points(posts, EMBEDDER), "hashed-points")
     profiles_ = materialize(profiles_, "hashed-profiles")
     rows = feed.build_feeds(
-        profiles_.select("userId", F.lit(None).cast("int").alias("limit")),
+        profiles_.select(
+            F.col("userId").alias("requestId"), "userId", F.lit(None).cast("int").alias("limit")
+        ),
         profiles_,
         points,
         src.AS_OF,
@@ -462,19 +509,20 @@ def feed_nested(spark: SparkSession, sf_dir: str) -> DataFrame:
     served, _ = feed.split_requests(src.feed_requests(spark, sf_dir), good)
     answers = feed.feed_responses(served, _feed(spark, sf_dir))
     items = F.transform("items", lambda i: F.concat_ws(":", i["rank"].cast("string"), i["tweetId"]))
-    return answers.select("userId", "count", F.array_join(items, ",").alias("items"))
+    return answers.select("requestId", "userId", "count", F.array_join(items, ",").alias("items"))
 
 
 def feed_missing_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every customer asks for a feed; those without a profile get an error row."""
-    asked = src.table(spark, sf_dir, "customer").select(F.col("c_custkey").cast("string").alias("userId"))
+    """Every customer asks for a feed of purchases; without a profile it gets an error row."""
+    buyer = F.concat(F.col("c_custkey").cast("string"), F.lit("/purchase"))
+    asked = src.table(spark, sf_dir, "customer").select(buyer.alias("userId"))
     good = profile.good_profiles(src.judged_profiles(spark, sf_dir))
     return feed.split_requests(asked, good)[1].select("userId", F.lit("no_profile").alias("status"))
 
 
 def feed_limits(spark: SparkSession, sf_dir: str) -> DataFrame:
     asked = src.feed_requests(spark, sf_dir)
-    return asked.select("userId", F.col("limit").alias("requested"), feed.clamp_limit(F.col("limit")).alias("limit"))
+    return asked.select("requestId", F.col("limit").alias("requested"), feed.clamp_limit(F.col("limit")).alias("limit"))
 
 
 def feed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -542,12 +590,14 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         index_payload,
         point_ids,
         upsert_latest,
+        upsert_streams,
         index_profile,
         index_stream,
         embed_hashed,
         interest_clean,
         profiles,
         profile_rejects,
+        profile_lengths,
         profiles_hashed,
         profile_count,
         interest_cosine,

@@ -1,7 +1,6 @@
 """Independent SQL for the registered queries, run by DuckDB on the same tables.
 
-The SQL states results from the tables directly; it shares no step with the jobs. Queries
-without an entry report progress of a stream, which no SQL over the tables can know.
+The SQL states results from the tables directly; it shares no step with the jobs.
 """
 
 from __future__ import annotations
@@ -94,12 +93,12 @@ export AS (
          THEN substr(sha256('brightdata-row-' || doc_id || '-' || text_clean), 1, 32)
          ELSE CAST(doc_id AS VARCHAR) END AS tweet_id,
     text_clean,
-    CASE doc_id % 4 WHEN 0 THEN [lang, source] WHEN 1 THEN [lang, source]
-                    WHEN 2 THEN [] ELSE [source] END AS tags,
+    CASE doc_id % 5 WHEN 0 THEN [lang, source] WHEN 1 THEN [lang, source] WHEN 2 THEN []
+      WHEN 3 THEN [source] ELSE ['[''' || lang || '''', '''' || source || ''']'] END AS tags,
     array_to_string(list_concat(CASE WHEN doc_id % 3 = 0 THEN ['Photo'] ELSE [] END,
                                 CASE WHEN doc_id % 2 = 0 THEN ['Video'] ELSE [] END), '|') AS media,
     'https://example.com/' || doc_id AS links,
-    CASE WHEN doc_id % 5 IN (0, 3) THEN 'Reply' WHEN doc_id % 3 = 1 THEN 'Quote'
+    CASE WHEN doc_id % 7 IN (0, 3, 5, 6) THEN 'Reply' WHEN doc_id % 3 = 1 THEN 'Quote'
          ELSE 'TopLevel' END AS tweet_type,
     CASE WHEN doc_id % 29 = 0 THEN {AS_OF}
          WHEN doc_id % 7 = 0 THEN {_POST_TIME} - 10800
@@ -113,13 +112,34 @@ export AS (
   FROM (SELECT *, trim(text, E' \\t\\n\\r') AS text_clean FROM documents)
   WHERE text_clean <> '')"""
 
+# Signed word counts of {source}(k, text), scaled to length one, as floats.
+_HASHED = f"""
+hashed_words AS (
+  SELECT k, w, md5(w) AS h FROM (
+    SELECT k, unnest(string_split_regex(text, '[ \\t\\n\\r\\f\\v]+')) AS w FROM @source@)
+  WHERE w <> ''),
+sums AS (
+  SELECT k, CAST('0x' || substr(h, 1, 8) AS BIGINT) % {DIM} AS component,
+    sum(CASE WHEN substr(h, 9, 1) < '8' THEN 1 ELSE -1 END) AS s
+  FROM hashed_words GROUP BY 1, 2),
+unit AS (
+  SELECT k, component, CAST(s / sqrt(sum(s * s) OVER (PARTITION BY k)) AS FLOAT) AS x
+  FROM (SELECT k, component, CAST(s AS DOUBLE) AS s FROM sums) WHERE s <> 0)"""
+
+# Given vectors, else the hashed words of the text.
 _POINTS = f"""
 {_fill(_UUID, ids=_DOC_IDS)},
+doc_vectors AS (
+  SELECT k AS hashed_id, list(component ORDER BY component) AS cs, list(CAST(x AS DOUBLE) ORDER BY component) AS xs
+  FROM (WITH d AS (SELECT doc_id AS k, text FROM documents
+                   WHERE doc_id NOT IN (SELECT vec_id FROM embeddings)),
+        {_fill(_HASHED, source="d")} SELECT * FROM unit) GROUP BY k),
 points AS (
   SELECT point_id, tweetId, text, lang AS language, {_POST_TIME} AS tweetTimestamp,
     substr(sha256(source), 1, 32) AS authorId, lang || '|' || source AS hashtags,
-    CAST(embedding AS DOUBLE[]) AS emb
-  FROM documents JOIN embeddings ON doc_id = vec_id
+    CASE WHEN embedding IS NOT NULL THEN CAST(embedding AS DOUBLE[]) ELSE
+      list_transform(range({DIM}), lambda c: coalesce(xs[list_position(cs, c)], 0.0::DOUBLE)) END AS emb
+  FROM documents LEFT JOIN embeddings ON doc_id = vec_id LEFT JOIN doc_vectors ON doc_id = hashed_id
   JOIN uuids ON tweetId = CAST(doc_id AS VARCHAR))"""
 
 # Mean of vectors(userId, embedding), at most 50 each, scaled to length one.
@@ -132,11 +152,10 @@ profiles AS (
   FROM (SELECT *, sqrt(sum(m * m) OVER (PARTITION BY userId)) AS len FROM means)
   WHERE n <= 50 AND len >= 1e-9 GROUP BY userId)"""
 
-_PURCHASES = """
+_INTERESTS = """
 vectors AS (
-  SELECT CAST(user_id AS VARCHAR) AS userId, vec_id, embedding
-  FROM events JOIN embeddings ON vec_id = event_id % (SELECT count(*) FROM embeddings)
-  WHERE event_type = 'purchase')"""
+  SELECT user_id || '/' || event_type AS userId, vec_id, embedding
+  FROM events JOIN embeddings ON vec_id = event_id % (SELECT count(*) FROM embeddings))"""
 
 _HITS = """
 hits AS (
@@ -191,30 +210,17 @@ kept AS (
 
 _LIMITS = """
 asked AS (
-  SELECT CAST(user_id AS VARCHAR) AS userId,
-    CAST(nullif(count(*) FILTER (event_type = 'error'), 0) - 12 AS INTEGER) AS requested
-  FROM events GROUP BY user_id),
+  SELECT user_id || '/' || event_type || '/' || event_id % 3 AS requestId,
+    user_id || '/' || event_type AS userId,
+    CASE WHEN min(event_id) % 7 <> 0 THEN CAST(min(event_id) % 105 - 2 AS INTEGER) END AS requested
+  FROM events GROUP BY user_id, event_type, event_id % 3),
 limits AS (
   SELECT *, CAST(least(greatest(coalesce(requested, 20), 1), 100) AS INTEGER) AS lim FROM asked)"""
 
-_BASE = f"{_POINTS}, {_PURCHASES}, {_MEAN}, {_HITS}, {_SCORED}"
-_FEED = f"{_BASE}, {_WALK}, {_LIMITS}, feed AS (SELECT kept.*, @extra@ FROM kept JOIN limits USING (userId) @joins@ WHERE rank <= lim)"
+_BASE = f"{_POINTS}, {_INTERESTS}, {_MEAN}, {_HITS}, {_SCORED}"
+_FEED = f"{_BASE}, {_WALK}, {_LIMITS}, feed AS (SELECT requestId, kept.*, @extra@ FROM kept JOIN limits USING (userId) @joins@ WHERE rank <= lim)"
 _FEED_IDS = _fill(_FEED, extra="points.tweetId", joins="JOIN points USING (point_id)")
 
-# Signed word counts of {source}(k, text), scaled to length one, as floats.
-_HASHED = f"""
-hashed_words AS (
-  SELECT k, w, md5(w) AS h FROM (
-    SELECT k, unnest(string_split_regex(text, '[ \\t\\n\\r\\f\\v]+')) AS w FROM @source@)
-  WHERE w <> ''),
-sums AS (
-  SELECT k, CAST('0x' || substr(h, 1, 8) AS BIGINT) % {DIM} AS component,
-    sum(CASE WHEN substr(h, 9, 1) < '8' THEN 1 ELSE -1 END) AS s
-  FROM hashed_words GROUP BY 1, 2),
-unit AS (
-  SELECT k, component, CAST(s / sqrt(sum(s * s) OVER (PARTITION BY k)) AS FLOAT) AS x
-  FROM (SELECT k, component, CAST(s AS DOUBLE) AS s FROM sums) WHERE s <> 0)"""
-
 _PHRASES = r"""
 phrases AS (
   SELECT conv_id, turn, list_filter(list_transform(string_split_regex(text, '[.!?\n]+'),
@@ -327,6 +333,17 @@ SELECT md5(line) AS line_md5, reason FROM lines
 UNION ALL SELECT md5('   '), 'blank line' FROM documents WHERE doc_id % 43 = 0""",
     "dedup_exact": _STREAM_POSTS,
     "dedup_stream_exact": _STREAM_POSTS,
+    # Held back from the first third of the month, and too late by the time they come.
+    "dedup_stream_bounded": f"""WITH {_RECORDS}
+SELECT DISTINCT {_CLEAN_COLUMNS} FROM records
+WHERE reason IS NULL AND NOT (doc_id % 47 = 0 AND tweetTimestamp < {EPOCH + 864000})""",
+    "progress_metrics": f"""WITH {_RECORDS},
+outcomes AS (
+  SELECT reason FROM records UNION ALL SELECT 'blank line' FROM documents WHERE doc_id % 43 = 0)
+SELECT count(*) AS input_rows, count(*) FILTER (reason IS NULL) AS accepted,
+  count(*) FILTER (reason IS NOT NULL) AS rejected, CAST(0 AS BIGINT) AS late_rows FROM outcomes""",
+    "rate_replay": f"""WITH {_RECORDS}
+SELECT (SELECT count(*) FROM records) + count(*) AS input_rows FROM documents WHERE doc_id % 43 = 0""",
     "index_gate": f"WITH {_MESSAGES} SELECT kind, key, indexable FROM messages",
     "index_counts": f"""WITH {_MESSAGES}
 SELECT kind, count(*) AS consumed, count(*) FILTER (indexable) AS upserted,
@@ -339,6 +356,14 @@ newest AS (
     CASE role WHEN 'system' THEN 0 WHEN 'user' THEN 1 ELSE 2 END DESC, turn DESC) = 1)
 SELECT tweetId, point_id, text, CAST(0 AS BIGINT) AS tweetTimestamp, '' AS language
 FROM newest JOIN uuids USING (tweetId)""",
+    "upsert_streams": f"""WITH {_fill(_UUID, ids="(SELECT DISTINCT CAST(conv_id AS VARCHAR) AS tweetId FROM conversations)")},
+arrived AS (
+  SELECT *, CASE role WHEN 'user' THEN 0 WHEN 'assistant' THEN 1 ELSE 2 END AS delivery FROM conversations
+  WHERE trim(text, E' \\t\\n\\r') <> '' AND (role IN ('user', 'assistant') OR (role = 'system' AND conv_id % 2 = 0))),
+newest AS (
+  SELECT CAST(conv_id AS VARCHAR) AS tweetId, text FROM arrived
+  QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY delivery DESC, turn DESC) = 1)
+SELECT tweetId, point_id, text FROM newest JOIN uuids USING (tweetId)""",
     "index_profile": f"""SELECT count(DISTINCT conv_id) AS points, {DIM} AS min_dim, {DIM} AS max_dim, 'cosine' AS metric
 FROM conversations WHERE trim(text, E' \\t\\n\\r') <> ''""",
     "embed_hashed": f"""WITH docs AS (SELECT doc_id AS k, text FROM documents), {_fill(_HASHED, source="docs")}
@@ -347,7 +372,7 @@ SELECT k AS doc_id, CAST(component AS INTEGER) AS component, round(CAST(x AS DOU
 SELECT CAST(conv_id AS VARCHAR) AS userId, turn AS submitted_at, array_to_string(phrases, '|') AS interests,
   CASE WHEN len(phrases) = 0 THEN 'no interests' WHEN len(phrases) > 50 THEN 'too many interests' END AS reason
 FROM phrases""",
-    "profiles": f"""WITH {_PURCHASES}, {_MEAN}
+    "profiles": f"""WITH {_INTERESTS}, {_MEAN}
 SELECT userId, CAST(n AS INTEGER) AS interestCount, {DIM} AS vectorDim, CAST(i - 1 AS INTEGER) AS component,
   round(CAST(profile[i] AS DOUBLE), 5) AS weight
 FROM (SELECT *, unnest(range(1, {DIM + 1})) AS i FROM profiles)""",
@@ -355,17 +380,22 @@ FROM (SELECT *, unnest(range(1, {DIM + 1})) AS i FROM profiles)""",
   CASE WHEN count(*) > 50 THEN 0 ELSE {DIM} END AS vectorDim,
   CASE WHEN count(*) > 50 THEN 'too many interests' ELSE 'profile created' END AS message
 FROM events GROUP BY user_id""",
+    "profile_lengths": f"""WITH {_INTERESTS}
+SELECT userId, CAST(count(*) AS INTEGER) AS interestCount,
+  CASE WHEN count(*) > 50 THEN 'too many interests' WHEN bool_or(vec_id % 5 = 0) THEN 'vector dimensions differ'
+       ELSE 'profile created' END AS message
+FROM vectors GROUP BY userId""",
     "profiles_hashed": f"""WITH {_TURN_PROFILES}
 SELECT CAST(conv_id AS VARCHAR) AS userId, CAST(n AS INTEGER) AS interestCount, {DIM} AS vectorDim,
   CAST(component AS INTEGER) AS component, round(CAST(x AS DOUBLE), 5) AS weight
 FROM turn_profiles WHERE round(CAST(x AS DOUBLE), 5) <> 0""",
-    "profile_count": f"WITH {_PURCHASES}, {_MEAN} SELECT count(*) AS profiles FROM profiles",
-    "interest_cosine": f"""WITH {_PURCHASES}, {_MEAN}
+    "profile_count": f"WITH {_INTERESTS}, {_MEAN} SELECT count(*) AS profiles FROM profiles",
+    "interest_cosine": f"""WITH {_INTERESTS}, {_MEAN}
 SELECT userId, vec_id, round(list_inner_product(e, p)
     / (sqrt(list_inner_product(e, e)) * sqrt(list_inner_product(p, p))), 6) AS cosine
 FROM (SELECT userId, vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST(profile AS DOUBLE[]) AS p
       FROM vectors JOIN profiles USING (userId))""",
-    "knn_topk": f"""WITH {_POINTS}, {_PURCHASES}, {_MEAN}, {_HITS}
+    "knn_topk": f"""WITH {_POINTS}, {_INTERESTS}, {_MEAN}, {_HITS}
 SELECT userId, point_id, cosine FROM hits""",
     "candidate_scores": f"""WITH {_BASE}
 SELECT userId, CAST(position AS INTEGER) AS position, point_id, round(semanticSimilarity, 10) AS semanticSimilarity,
@@ -394,15 +424,16 @@ QUALIFY row_number() OVER (PARTITION BY s.userId, s.point_id ORDER BY k.rank) =
     "feed": f"""WITH {_fill(_FEED, 
         extra="points.* EXCLUDE (point_id), semanticSimilarity, recencyScore, finalScore",
         joins="JOIN scored USING (userId, point_id) JOIN points USING (point_id)")}
-SELECT userId, rank, tweetId, text, language, tweetTimestamp, authorId, hashtags,
+SELECT requestId, userId, rank, tweetId, text, language, tweetTimestamp, authorId, hashtags,
   round(semanticSimilarity, 10) AS semanticSimilarity, round(recencyScore, 8) AS recencyScore,
   round(finalScore, 8) AS finalScore FROM feed""",
     "feed_nested": f"""WITH {_FEED_IDS}
-SELECT userId, CAST(count(*) AS INTEGER) AS count, string_agg(rank || ':' || tweetId, ',' ORDER BY rank) AS items
-FROM feed GROUP BY userId""",
+SELECT requestId, userId, CAST(count(*) AS INTEGER) AS count,
+  string_agg(rank || ':' || tweetId, ',' ORDER BY rank) AS items
+FROM feed GROUP BY requestId, userId""",
     "feed_diff": f"""WITH {_FEED_IDS}
-SELECT tweetIds, count(*) AS users FROM (
-  SELECT string_agg(tweetId, '|' ORDER BY tweetId) AS tweetIds FROM feed WHERE rank <= 5 GROUP BY userId)
+SELECT tweetIds, count(*) AS requests FROM (
+  SELECT string_agg(tweetId, '|' ORDER BY tweetId) AS tweetIds FROM feed WHERE rank <= 5 GROUP BY requestId)
 GROUP BY tweetIds""",
     "feed_hashed": f"""WITH docs AS (SELECT CAST(doc_id AS VARCHAR) AS tweetId, text, {_POST_TIME} AS tweetTimestamp FROM documents),
 {_fill(_UUID, ids="docs")},
@@ -421,10 +452,10 @@ profiles AS (
 {_HITS}, {_SCORED}, {_WALK}
 SELECT userId, rank, tweetId, round(finalScore, 8) AS finalScore
 FROM kept JOIN scored USING (userId, point_id) JOIN points USING (point_id) WHERE rank <= 20""",
-    "feed_missing_profile": f"""WITH {_PURCHASES}, {_MEAN}
-SELECT CAST(c_custkey AS VARCHAR) AS userId, 'no_profile' AS status FROM customer
-WHERE CAST(c_custkey AS VARCHAR) NOT IN (SELECT userId FROM profiles)""",
-    "feed_limits": f"""WITH {_LIMITS} SELECT userId, requested, lim AS "limit" FROM limits""",
+    "feed_missing_profile": f"""WITH {_INTERESTS}, {_MEAN}
+SELECT c_custkey || '/purchase' AS userId, 'no_profile' AS status FROM customer
+WHERE c_custkey || '/purchase' NOT IN (SELECT userId FROM profiles)""",
+    "feed_limits": f"""WITH {_LIMITS} SELECT requestId, requested, lim AS "limit" FROM limits""",
     "partition_counts": f"""WITH {_RECORDS},
 keys AS (
   SELECT 'posts.raw' AS topic, CASE WHEN doc_id % 17 = 0 THEN '  ' ELSE tweetId END AS key

@@ -12,12 +12,14 @@ from pyspark.sql import functions as F
 
 from ..config import spread, work_path
 from ..constants import SPECIAL_TOKENS
+from ..functions.embedder import HashingEmbedder
 from ..functions.ids import point_id
 from ..functions.text import hashed
 from ..functions.wordpiece import encoder, shared_vocab
+from ..operators.index import to_points
 from ..operators.ingest import feature_line
 from ..operators.profile import mean_profiles
-from ..schemas import PROFILE
+from ..schemas import POINT, PROFILE
 from ..sources.files import read_vocab
 
 EPOCH = 1704067200  # 2024-01-01T00:00:00Z
@@ -46,6 +48,11 @@ def _once(spark: SparkSession, sf_dir: str, name: str, write) -> str:
     return _written[key]
 
 
+def _files(spark: SparkSession, sf_dir: str) -> int:
+    """Files of a derived table: as many as the documents have splits, eight at least."""
+    return max(8, table(spark, sf_dir, "documents").rdd.getNumPartitions())
+
+
 def post_time() -> Column:
     return F.lit(EPOCH) + (F.col("doc_id") * 7919) % MONTH
 
@@ -83,8 +90,11 @@ def encode(spark: SparkSession, sf_dir: str):
 # --- raw feature records --------------------------------------------------------------
 
 
-def raw_path(spark: SparkSession, sf_dir: str) -> str:
-    """Text files of feature records of all documents, some damaged, some repeated."""
+def raw_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """``doc_id, value``: feature records of all documents, some damaged, some repeated.
+
+    Stored, because texts are encoded on the way.
+    """
 
     def write(path: str) -> None:
         d = F.col("doc_id")
@@ -125,13 +135,32 @@ def raw_path(spark: SparkSession, sf_dir: str) -> str:
         lines = rows.select("doc_id", F.when(every(37), short).otherwise(line).alias("line"))
         copies = F.when(every(13), F.array("line", "line")).otherwise(F.array("line"))
         blank = F.when(every(43), F.array(F.lit("   "))).otherwise(F.array().cast("array<string>"))
-        out = lines.select(F.explode(F.concat(copies, blank)).alias("value"))
+        lines.select("doc_id", F.explode(F.concat(copies, blank)).alias("value")).write.parquet(path)
+
+    return spark.read.schema("doc_id long, value string").parquet(_once(spark, sf_dir, "records", write))
+
+
+def raw_path(spark: SparkSession, sf_dir: str) -> str:
+    """Text files of :func:`raw_records`."""
+
+    def write(path: str) -> None:
+        out = raw_records(spark, sf_dir).select("value")
         # Several files, so that a stream over them takes several micro-batches.
-        out.repartition(8, F.xxhash64("value")).write.text(path)
+        out.repartition(_files(spark, sf_dir), F.xxhash64("value")).write.text(path)
 
     return _once(spark, sf_dir, "raw", write)
 
 
+def deliveries(spark: SparkSession, sf_dir: str) -> list[DataFrame]:
+    """The records in three deliveries by time, the last one with much that is late."""
+    rows = raw_records(spark, sf_dir)
+    third = F.floor((post_time() - EPOCH) / (MONTH // 3))
+    held = F.col("doc_id") % 47 == 0
+    first, second = rows.where((third == 0) & ~held), rows.where(third == 1)
+    last = rows.where((third == 2) | (third == 0))
+    return [part.select("value") for part in (first, second, last)]
+
+
 def raw_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.text(raw_path(spark, sf_dir)).withColumnRenamed("value", "line")
 
@@ -161,11 +190,12 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("text").alias("description"),
         date.alias("date_posted"),
         case(
-            4,
+            5,
             F.concat(lit('["#'), "lang", lit('","##'), "source", lit('",""]')),
             F.concat("lang", lit(", #"), "source", lit(",,")),
             lit("null"),
             F.concat(lit('"#'), "source", lit('"')),
+            F.concat(lit("['"), "lang", lit("', '"), "source", lit("']")),
         ).alias("hashtags"),
         case(3, F.format_number(n, 0), F.concat(text, lit(".9")), F.concat(lit("x"), text)).alias("followers"),
         case(5, lit("1.9e3"), lit("-7.8"), lit(""), lit("12d"), text).alias("following"),
@@ -179,9 +209,16 @@ def export_rows(spark: SparkSession, sf_dir: str) -> DataFrame:
             lit('{"description":"x","post_id":"5"}'),
             lit("null"),
         ).alias("quoted_post"),
-        case(5, lit('{"post_id":"9"}'), lit('{"a":""}'), lit("[]"), lit("reply"), lit("")).alias(
-            "parent_post_details"
-        ),
+        case(
+            7,
+            lit('{"post_id":"9"}'),
+            lit('{"a":""}'),
+            lit("[]"),
+            lit("reply"),
+            lit(""),
+            lit("{'a': ''}"),
+            lit('{"a":""} x}'),
+        ).alias("parent_post_details"),
     )
 
 
@@ -190,7 +227,7 @@ def export_path(spark: SparkSession, sf_dir: str) -> str:
 
     def write(path: str) -> None:
         rows = export_rows(spark, sf_dir)
-        ordered = rows.repartitionByRange(8, "doc_id").sortWithinPartitions("doc_id")
+        ordered = rows.repartitionByRange(_files(spark, sf_dir), "doc_id").sortWithinPartitions("doc_id")
         (
             ordered.drop("doc_id")
             .write.option("header", True)
@@ -223,21 +260,35 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def points(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The posts that have a precomputed vector."""
-    vectors = table(spark, sf_dir, "embeddings").select(
-        F.col("vec_id").cast("string").alias("tweetId"), "embedding"
-    )
-    rows = posts(spark, sf_dir).join(vectors, "tweetId")
-    return rows.select(point_id(F.col("tweetId")).alias("point_id"), "*")
+    """All posts with their vectors: the given one, else the hashed words of the text.
+
+    Stored, as an index is, because every feed query reads it.
+    """
+
+    def write(path: str) -> None:
+        vectors = table(spark, sf_dir, "embeddings").select(
+            F.col("vec_id").cast("string").alias("tweetId"), "embedding"
+        )
+        rows = posts(spark, sf_dir).select(point_id(F.col("tweetId")).alias("point_id"), "*")
+        given = rows.join(vectors, "tweetId")
+        rest = to_points(rows.join(vectors, "tweetId", "left_anti"), HashingEmbedder(DIM))
+        both = given.select(*POINT.fieldNames()).unionByName(rest.select(*POINT.fieldNames()))
+        both.write.parquet(path)
+
+    return spark.read.schema(POINT).parquet(_once(spark, sf_dir, "points", write))
 
 
 def interests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """An interest vector per purchase: ``(userId, vec_id, embedding)``."""
+    """An interest vector per event: ``(userId, vec_id, embedding)``.
+
+    What a user does in one kind of event is one profile, so ``userId`` names both.
+    """
     vectors = table(spark, sf_dir, "embeddings")
     n = vectors.count()
-    bought = table(spark, sf_dir, "events").where(F.col("event_type") == "purchase")
-    return bought.select(
-        F.col("user_id").cast("string").alias("userId"), (F.col("event_id") % n).alias("vec_id")
+    done = table(spark, sf_dir, "events")
+    return done.select(
+        F.concat_ws("/", "user_id", "event_type").alias("userId"),
+        (F.col("event_id") % n).alias("vec_id"),
     ).join(vectors.select("vec_id", "embedding"), "vec_id")
 
 
@@ -260,15 +311,13 @@ def interest_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def feed_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every user of the event log; the limit is the number of errors minus 12.
-
-    Users without errors ask for no limit.
-    """
-    errors = F.count_if(F.col("event_type") == "error").cast("int")
-    users = table(spark, sf_dir, "events").groupBy(F.col("user_id").cast("string").alias("userId"))
-    return users.agg(F.nullif(errors, F.lit(0)).alias("_n")).select(
-        "userId", (F.col("_n") - 12).alias("limit")
+    """Up to three requests of every user; limits are NULL, or go from -2 to 102."""
+    first = F.min("event_id")
+    limit = F.when(first % 7 != 0, (first % 105 - 2).cast("int")).alias("limit")
+    asked = table(spark, sf_dir, "events").groupBy(
+        F.concat_ws("/", "user_id", "event_type").alias("userId"), (F.col("event_id") % 3).alias("_n")
     )
+    return asked.agg(limit).select(F.concat_ws("/", "userId", "_n").alias("requestId"), "userId", "limit")
 
 
 def list_text(c) -> Column:

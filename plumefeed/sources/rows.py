@@ -25,14 +25,15 @@ def with_file_position(df: DataFrame) -> DataFrame:
 def _split_bounds(df: DataFrame) -> DataFrame:
     """Per input split: rows, first position, and rows in all earlier splits.
 
-    One line per split. The running sum is the only step in one task, over a list the
-    driver holds anyway to plan the scan.
+    One line per split, so it is broadcast: the driver holds the list of splits anyway to
+    plan the scan. The running sum is the only step in one task.
     """
     splits = df.groupBy("_file", "_start").agg(
         F.count("*").alias("_rows"), F.min("_pos").alias("_first")
     )
     earlier = W.orderBy("_file", "_start").rowsBetween(W.unboundedPreceding, -1)
-    return splits.withColumn("_before", F.coalesce(F.sum("_rows").over(earlier), F.lit(0)))
+    before = F.coalesce(F.sum("_rows").over(earlier), F.lit(0))
+    return F.broadcast(splits.withColumn("_before", before))
 
 
 def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:

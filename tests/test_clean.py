@@ -124,7 +124,8 @@ def test_decode_by_join_agrees(spark, toy_vocab):
 
 
 def test_vocabulary_bounds(spark, toy_vocab):
-    assert wordpiece.shared_vocab(toy_vocab, limit=11) is None
+    with pytest.raises(ValueError, match="more than 11"):
+        wordpiece.shared_vocab(toy_vocab, limit=11)
     assert len(wordpiece.shared_vocab(toy_vocab, limit=12)) == 12
     with pytest.raises(ValueError):
         wordpiece.shared_vocab(toy_vocab.limit(0))
@@ -152,12 +153,6 @@ def test_clean_job(spark, toy_vocab):
     assert sorted(r.reason for r in clean.rejected(cleaned).collect()) == ["text too short", "too few columns"]
 
 
-def test_clean_job_with_a_vocabulary_too_large_to_share(spark, toy_vocab, monkeypatch):
-    expected = rows(clean.accepted(clean.clean_lines(_lines(spark), toy_vocab)))
-    monkeypatch.setattr(clean, "shared_vocab", lambda vocab: None)
-    assert rows(clean.accepted(clean.clean_lines(_lines(spark), toy_vocab))) == expected
-
-
 def test_messages_have_all_fields(spark, toy_vocab):
     message = clean.to_messages(clean.accepted(clean.clean_lines(_lines(spark), toy_vocab))).first()
     assert message.key == "t1"
