@@ -8,7 +8,6 @@ from plumefeed import FeedSettings
 from plumefeed.functions.text import content_words, jaccard
 from plumefeed.operators import feed, monitor
 
-BASE = "Cold brewing changed my coffee routine, taste difference remarkable"
 NOW = 1706745600
 
 
@@ -17,28 +16,28 @@ def similarity(spark, a, b):
     return df.select(jaccard(content_words(F.col("a")), content_words(F.col("b")))).first()[0]
 
 
-@pytest.mark.parametrize(
-    "a, b",
-    [
-        (f"{BASE} Warmly recommended .", f"Short note : {BASE} Will continue ."),
-        (f"{BASE} Warmly recommended .", f"Finally ! {BASE} Anyone with other ideas ?"),
-        (f"I admit : {BASE} Still learning .", f"Finally ! {BASE} Anyone with other ideas ?"),
-    ],
-)
-def test_variants_are_near(spark, a, b):
-    assert similarity(spark, a, b) >= 0.40
+def wording(*ranges):
+    """A text of the numbered words of some ranges."""
+    return " ".join(f"word{i:02d}" for r in ranges for i in r)
 
 
 @pytest.mark.parametrize(
-    "a, b",
+    "shared, left, right, near",
     [
-        (BASE, "Deploying microservices onto clusters went smoother than expected"),
-        (BASE, "Replacing butter by olive oil improved this coffee cake recipe greatly"),
-        ("Sourdough starter finally doubled overnight", "Weather finally allows grilling outside with friends"),
+        (2, 2, 1, True),  # 2 / 5, the threshold itself
+        (4, 5, 1, True),  # 4 / 10
+        (39, 30, 29, False),  # 39 / 98, just below
+        (41, 30, 30, True),  # 41 / 101, just above
+        (0, 9, 9, False),
+        (1, 0, 0, True),
     ],
 )
-def test_others_are_not(spark, a, b):
-    assert similarity(spark, a, b) < 0.40
+def test_word_sets_around_the_threshold(spark, shared, left, right, near):
+    one = wording(range(shared), range(shared, shared + left))
+    other = wording(range(500, 500 + right), range(shared))
+    ratio = similarity(spark, one, other)
+    assert ratio == pytest.approx(shared / (shared + left + right))
+    assert (ratio >= 0.40) is near
 
 
 def test_words(spark):
@@ -77,28 +76,23 @@ def kept(df):
     return [r.point_id for r in df.orderBy("userId", "rank").collect()]
 
 
-def test_the_best_variant_stays(spark):
+def test_a_match_is_the_best_kept_item(spark):
+    """The third item is near to the second only, which is near to the first and goes."""
     df, points = ranked(
         spark,
         [
-            ("u", "1", f"{BASE} Warmly recommended .", 0.9),
-            ("u", "2", f"Short note : {BASE} Will continue .", 0.8),
-            ("u", "3", "Deploying microservices onto clusters went smoother than expected", 0.7),
+            ("u", "b", wording(range(0, 10)), 0.9),
+            ("u", "c", wording(range(5, 15)), 0.8),  # 5 / 15 with the first
+            ("u", "a", wording(range(8, 18)), 0.7),  # 2 / 18 and 7 / 13
+            ("u", "d", wording(range(3, 10)), 0.6),  # 7 / 10 and 5 / 12
+            ("u", "e", wording(range(40, 42)), 0.5),
+            ("v", "a", wording(range(8, 18)), 0.1),
         ],
     )
-    assert kept(feed.drop_near_duplicates(feed.with_words(df, points))) == ["1", "3"]
-    matches = feed.near_duplicate_matches(feed.with_words(df, points)).collect()
-    assert [(m.point_id, m.kept_point_id) for m in matches] == [("2", "1")]
-
-
-def test_unrelated_texts_stay(spark):
-    texts = [
-        "Adding partitions doubled the throughput",
-        "Third week of marathon training and everything hurts",
-        "Listened to their debut album twice, great production",
-    ]
-    df, points = ranked(spark, [("u", str(i), x, 0.5) for i, x in enumerate(texts)])
-    assert kept(feed.drop_near_duplicates(feed.with_words(df, points))) == ["0", "1", "2"]
+    worded = feed.with_words(df, points)
+    assert kept(feed.drop_near_duplicates(worded)) == ["b", "c", "e", "a"]
+    matches = feed.near_duplicate_matches(worded)
+    assert rows(matches, "point_id", "kept_point_id") == [("a", "c"), ("d", "b")]
 
 
 def greedy(items, threshold=0.40):
@@ -156,6 +150,9 @@ def test_limits(spark):
     assert [r[0] for r in df.select(feed.clamp_limit(F.col("l"))).collect()] == [20, 1, 1, 7, 100]
 
 
+ASKED = "requestId string, userId string, limit int"
+
+
 def small_world(spark):
     profiles = spark.createDataFrame([("u", [1.0, 0.0])], "userId string, profile array<float>")
     rows_ = [
@@ -175,7 +172,7 @@ def small_world(spark):
 
 def test_feed_end_to_end(spark):
     profiles, points = small_world(spark)
-    asked = spark.createDataFrame([("u", None), ("stranger", 5)], "userId string, limit int")
+    asked = spark.createDataFrame([("r", "u", None), ("s", "stranger", 5)], ASKED)
     got = feed.build_feeds(asked, profiles, points, NOW, 2).orderBy("rank").collect()
     assert [(r.rank, r.tweetId) for r in got] == [(1, "t1"), (2, "t4"), (3, "t5")]
     assert (got[0].language, got[0].authorId, got[0].hashtags) == ("", "", [])
@@ -187,17 +184,35 @@ def test_feed_end_to_end(spark):
 
 def test_the_pool_is_cut_before_unusable_hits_are_dropped(spark):
     profiles, points = small_world(spark)
-    asked = spark.createDataFrame([("u", None)], "userId string, limit int")
+    asked = spark.createDataFrame([("r", "u", None)], ASKED)
     got = feed.build_feeds(asked, profiles, points, NOW, 2, FeedSettings(pool_size=3))
     assert rows(got, "tweetId") == [("t1",)]
 
 
+def test_every_request_has_its_own_answer(spark):
+    """Several requests of one user, the same one twice and with other limits."""
+    profiles, _ = small_world(spark)
+    points = spark.createDataFrame(
+        [(f"p{i}", f"t{i}", wording([i]), "en", NOW, "a", [], [1.0, i / 10]) for i in range(8)],
+        "point_id string, tweetId string, text string, language string, tweetTimestamp long, "
+        "authorId string, hashtags array<string>, embedding array<float>",
+    )
+    requests = [("r1", "u", 6), ("r2", "u", 6), ("r3", "u", 2), ("r4", "u", None), ("r5", "x", 3)]
+    asked = spark.createDataFrame(requests, ASKED)
+    got = feed.build_feeds(asked, profiles, points, NOW, 2, FeedSettings(pool_size=6))
+    best = [f"t{i}" for i in range(6)]
+    answers = {}
+    for r in got.orderBy("requestId", "rank").collect():
+        answers.setdefault((r.requestId, r.userId), []).append(r.tweetId)
+    assert answers == {("r1", "u"): best, ("r2", "u"): best, ("r3", "u"): best[:2], ("r4", "u"): best}
+
+
 def test_responses_and_comparison(spark):
     df = spark.createDataFrame(
         [("u", 2, "b"), ("u", 1, "a"), ("v", 1, "b"), ("v", 2, "a"), ("w", 1, "c")],
         "userId string, rank int, tweetId string",
-    )
-    asked = df.select("userId").distinct()
+    ).withColumn("requestId", F.col("userId"))
+    asked = df.select("requestId", "userId").distinct()
     got = {r.userId: r for r in feed.feed_responses(asked, df).collect()}
     assert (got["u"]["count"], [i.tweetId for i in got["u"]["items"]]) == (2, ["a", "b"])
     assert rows(feed.shared_feeds(df)) == [(["a", "b"], 2), (["c"], 1)]

@@ -91,7 +91,7 @@ def test_dimensions_are_checked(spark, tmp_path):
 
 
 def test_embedder(spark):
-    texts = ["Spark ile veri", "Spark ile veri", "", None, "veri"]
+    texts = ["moon over snow", "moon over snow", "", None, "snow"]
     df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
     got = {r.i: r.v for r in df.select("i", embed(F.col("t"), EMBEDDER).alias("v")).collect()}
     assert got[0] == got[1] and len(got[0]) == DIM

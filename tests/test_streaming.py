@@ -20,7 +20,7 @@ def tokens(*ids):
 
 
 def record(tweet_id, ts, *ids):
-    return line(tweet_id=tweet_id, tweet_timestamp=str(ts), text_tokens=tokens(2, *(ids or (5, 6)), 3))
+    return line(tweet_id=tweet_id, tweet_timestamp=str(ts), text_tokens=tokens(2, *(ids or (7, 8)), 3))
 
 
 def drop(folder, n, *lines):
@@ -43,9 +43,9 @@ def output(spark, base, *columns):
 
 def test_stream_equals_batch_and_counts(spark, toy_vocab, tmp_path):
     base = str(tmp_path)
-    drop(f"{base}/in", 0, record("a", T0), record("b", T0 + 1, 7, 8), "junk")
+    drop(f"{base}/in", 0, record("a", T0), record("b", T0 + 1, 9, 10), "junk")
     drop(f"{base}/in", 1, record("a", T0), record("c", T0 + 2), record("d", 0))
-    drop(f"{base}/in", 2, record("b", T0 + 1, 7, 8), record("e", T0 + 3))
+    drop(f"{base}/in", 2, record("b", T0 + 1, 9, 10), record("e", T0 + 3))
     query = run(spark, toy_vocab, base)
     lines = spark.read.text(f"{base}/in").withColumnRenamed("value", "line")
     batch = dedup.dedup_posts(clean.accepted(clean.clean_lines(lines, toy_vocab)))
