@@ -11,7 +11,7 @@ import json
 import os
 import time
 
-from plumefeed import session
+from plumefeed import drop_work, session
 from plumefeed.plans import tables
 from plumefeed.plans.catalog import QUERIES
 
@@ -22,6 +22,8 @@ HEADLINE = [
     "dedup_exact",
     "embed_hashed",
     "profiles_hashed",
+    "profile_lengths",
+    "upsert_latest",
     "knn_topk",
     "candidate_scores",
     "jaccard_turns",
@@ -48,6 +50,7 @@ def main() -> None:
     tables.raw_path(spark, sf_dir)
     tables.export_path(spark, sf_dir)
     tables.judged_profiles(spark, sf_dir)
+    tables.points(spark, sf_dir)
     times = {}
     for name in HEADLINE:
         runs = []
@@ -56,6 +59,7 @@ def main() -> None:
             QUERIES[name](spark, sf_dir).write.format("noop").mode("overwrite").save()
             runs.append(time.perf_counter() - start)
         times[name] = round(min(runs), 3)
+    drop_work(spark)
     spark.stop()
     print(
         json.dumps(

@@ -56,6 +56,15 @@ def materialize(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def drop_work(spark: SparkSession) -> None:
+    """Remove what this application left in the shared folder; for the end of a job.
+
+    Frames that read those tables are of no use afterwards.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(work_path(spark))
+    place.getFileSystem(spark._jsc.hadoopConfiguration()).delete(place, True)
+
+
 def spread(df: DataFrame, *key: str) -> DataFrame:
     """Use the whole cluster for heavy row-wise work on a poorly split input.
 

@@ -14,10 +14,12 @@ def outcome_counts(cleaned: DataFrame) -> DataFrame:
     return cleaned.groupBy(outcome).agg(F.count("*").alias("records"))
 
 
-def partition_counts(messages: DataFrame, partitions: int = 3) -> DataFrame:
-    """Messages per topic and partition, with a NULL partition row for the topic total."""
-    placed = messages.select("topic", partition_of(F.col("key"), partitions).alias("partition"))
-    counted = placed.groupBy("topic", "partition").agg(F.count("*").alias("messages"))
+def partition_counts(messages: DataFrame) -> DataFrame:
+    """Messages per ``topic`` and ``partition`` of published topics, with topic totals.
+
+    A total has a NULL partition.
+    """
+    counted = messages.groupBy("topic", "partition").agg(F.count("*").alias("messages"))
     # Roll up the few counts, not the messages.
     return counted.rollup("topic", "partition").agg(F.sum("messages").alias("messages")).where(
         F.col("topic").isNotNull()

@@ -532,16 +532,14 @@ def feed_diff(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- monitoring -----------------------------------------------------------------------
 
 
-def _topics(spark: SparkSession, sf_dir: str) -> DataFrame:
+def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both topics are published, and the partitions of their folders counted."""
+    base = work_path(spark, "topics", uuid.uuid4().hex)
     raw = files.read_feature_lines(spark, src.raw_path(spark, sf_dir))
     cleaned = clean.to_messages(dedup.dedup_posts(clean.accepted(_cleaned(spark, sf_dir))))
-    return raw.select(F.lit(streams.RAW_TOPIC).alias("topic"), "key").unionByName(
-        cleaned.select(F.lit(streams.CLEAN_TOPIC).alias("topic"), "key")
-    )
-
-
-def partition_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    counts = monitor.partition_counts(_topics(spark, sf_dir))
+    for topic, messages in [(streams.RAW_TOPIC, raw), (streams.CLEAN_TOPIC, cleaned)]:
+        streams.publish(messages, f"{base}/topic={topic}")
+    counts = monitor.partition_counts(spark.read.parquet(base))
     return counts.select("topic", F.coalesce("partition", F.lit(-1)).alias("partition"), "messages")
 
 

@@ -211,9 +211,9 @@ def test_listener_reports_each_batch(spark, toy_vocab, tmp_path):
 
 
 def test_monitoring(spark):
-    log = spark.createDataFrame([("t", f"k{i}") for i in range(30)], "topic string, key string")
+    log = spark.createDataFrame([("t", i % 4) for i in range(30)], "topic string, partition int")
     counts = {r.partition: r.messages for r in monitor.partition_counts(log).collect()}
-    assert counts.pop(None) == 30 == sum(counts.values())
+    assert counts == {None: 30, 0: 8, 1: 8, 2: 7, 3: 7}
     ends = spark.createDataFrame([("t", 0, 10), ("t", 1, 5), ("t", 2, 7)], "topic string, partition int, end_offset long")
     commits = spark.createDataFrame([("t", 0, 4), ("t", 1, 5)], "topic string, partition int, committed long")
     lag = monitor.consumer_lag(ends, commits, partitions=3, workers=2)
@@ -222,3 +222,13 @@ def test_monitoring(spark):
         r[0] for r in spark.range(5).orderBy("id").select(monitor.worker_of(F.col("id"), 5, w)).collect()
     ]
     assert (workers(2), workers(3), workers(7)) == ([0, 0, 0, 1, 1], [0, 0, 1, 1, 2], [0, 1, 2, 3, 4])
+
+
+def test_work_is_removed_at_the_end_of_a_job(spark, monkeypatch, tmp_path):
+    from plumefeed import config
+
+    monkeypatch.setattr(config, "work_path", lambda spark, *parts: "/".join([str(tmp_path / "job"), *parts]))
+    kept = config.materialize(spark.range(3), "numbers")
+    assert kept.count() == 3 and os.path.isdir(tmp_path / "job")
+    config.drop_work(spark)
+    assert not os.path.exists(tmp_path / "job")
