@@ -7,7 +7,6 @@ Python worker and returns a function from a list of texts to a float32 matrix.
 from __future__ import annotations
 
 import hashlib
-import re
 from collections.abc import Callable, Iterator
 from typing import Protocol
 
@@ -29,9 +28,13 @@ class Embedder(Protocol):
 class HashingEmbedder:
     """Signed bag of words: each word adds +1 or -1 to one component.
 
+    Takes more texts at a time than a neural model would.
+
     Needs no model file. Component and sign come from the MD5 digest of the word.
     """
 
+    batch_size = 1024
+
     def __init__(self, dim: int = 384):
         self.dim = dim
 
@@ -48,13 +51,14 @@ class HashingEmbedder:
             return slots[word]
 
         def embed(texts: list[str]) -> np.ndarray:
-            out = np.zeros((len(texts), dim))
-            for i, text in enumerate(texts):
-                hits = [slot(w) for w in re.split(r"[ \t\n\r\f\v]+", text) if w]
-                if hits:
-                    where, sign = np.array(hits).T
-                    out[i] = np.bincount(where, weights=sign, minlength=dim)
-            return unit_rows(out).astype(np.float32)
+            # ASCII white space separates words; each distinct word is hashed once.
+            words = pc.ascii_split_whitespace(pa.array(texts, pa.large_string()))
+            row = pc.list_parent_indices(words).to_numpy(zero_copy_only=False)
+            codes = pc.list_flatten(words).dictionary_encode()
+            slots_ = np.array([slot(w) if w else (0, 0) for w in codes.dictionary.to_pylist()])
+            where, sign = slots_.reshape(-1, 2)[codes.indices.to_numpy(zero_copy_only=False)].T
+            flat = np.bincount(row * dim + where, weights=sign, minlength=len(texts) * dim)
+            return unit_rows(flat.reshape(len(texts), dim)).astype(np.float32)
 
         return embed
 
@@ -65,8 +69,10 @@ def unit_rows(matrix: np.ndarray) -> np.ndarray:
     return np.divide(matrix, length, out=np.zeros_like(matrix, dtype=float), where=length > 0)
 
 
-def _run(model: Callable[[list[str]], np.ndarray], texts: list[str], dim: int) -> np.ndarray:
-    parts = [model(texts[i : i + BATCH_SIZE]) for i in range(0, len(texts), BATCH_SIZE)]
+def _run(
+    model: Callable[[list[str]], np.ndarray], texts: list[str], dim: int, size: int
+) -> np.ndarray:
+    parts = [model(texts[i : i + size]) for i in range(0, len(texts), size)]
     out = np.concatenate(parts) if parts else np.zeros((0, dim), dtype=np.float32)
     if out.shape != (len(texts), dim):
         raise ValueError(f"the model returned {out.shape}, expected {(len(texts), dim)}")
@@ -93,13 +99,15 @@ def to_matrix(vectors: pa.Array, dim: int | None = None) -> np.ndarray:
 def embed(text: Column, embedder: Embedder) -> Column:
     """Vector of a text column; NULL stays NULL."""
 
+    size = getattr(embedder, "batch_size", BATCH_SIZE)
+
     @F.arrow_udf("array<float>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = embedder.load()
         for texts in batches:
             values = [t or "" for t in texts.to_pylist()]
             valid = texts.is_valid().to_numpy(zero_copy_only=False)
-            yield to_list_array(_run(model, values, embedder.dim), valid)
+            yield to_list_array(_run(model, values, embedder.dim, size), valid)
 
     return run.asNondeterministic()(text)
 
@@ -110,13 +118,15 @@ def embed_mean(texts: Column, embedder: Embedder) -> Column:
     The array is one row, so nothing is shuffled. NULL or empty gives NULL.
     """
 
+    size = getattr(embedder, "batch_size", BATCH_SIZE)
+
     @F.arrow_udf("array<double>")
     def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         model = embedder.load()
         for lists in batches:
             flat = pc.list_flatten(lists).to_pylist()
             row = pc.list_parent_indices(lists).to_numpy(zero_copy_only=False)
-            vectors = _run(model, flat, embedder.dim).astype(np.float64)
+            vectors = _run(model, flat, embedder.dim, size).astype(np.float64)
             total = np.zeros((len(lists), embedder.dim))
             np.add.at(total, row, vectors)
             n = np.bincount(row, minlength=len(lists))
