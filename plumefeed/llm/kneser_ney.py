@@ -16,14 +16,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import materialize
-from .textops import fetch, mix, non_space, signed, slices, text_buffers, words_of
+from .textops import fetch, map_rows, mix, non_space, signed, slices, text_buffers, words_of
 
 # Characters of a gram, and bits of a character in its packed form. Code points beyond the
 # last one are one character.
 ORDER, CHAR_BITS = 4, 15
 LAST = (1 << CHAR_BITS) - 1
 # Text of one block, and distinct grams a task adds up before it passes them on.
-BLOCK_BYTES, HELD_GRAMS = 24 << 20, 2_000_000
+BLOCK_BYTES, HELD_GRAMS = 8 << 20, 2_000_000
 
 
 def _grams(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
@@ -62,7 +62,7 @@ def _count_grams(texts: DataFrame) -> DataFrame:
                 grams, counts = grams[:0], counts[:0]
         yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
 
-    found = texts.select("text").mapInArrow(run, "gram long, n long")
+    found = map_rows(texts.select("text"), run, "gram long, n long")
     return found.groupBy("gram").agg(F.sum("n").alias("n"))
 
 
@@ -139,7 +139,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
                 [pa.array(np.full(len(grams), block)), pa.array(grams)], names=["block", "gram"]
             )
 
-    asked = materialize(source.mapInArrow(ask, "block long, gram long"), "asked")
+    asked = materialize(map_rows(source, ask, "block long, gram long"), "asked")
     known = _probabilities(counts, asked.select("gram").distinct())
     answers = asked.join(known, "gram").select("block", "gram", "logp")
 
@@ -182,7 +182,7 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
     empty = pa.schema(
         [("doc_id", pa.int64()), ("lang", pa.string()), ("n_chars", pa.int64()), ("perplexity", pa.float64())]
     ).empty_table
-    texts = source.mapInArrow(packed, "block long, rows binary")
+    texts = map_rows(source, packed, "block long, rows binary")
     return texts.groupBy("block").cogroup(answers.groupBy("block")).applyInArrow(measure, schema)
 
 

@@ -23,6 +23,7 @@ from .textops import (
     bounded_sample,
     fetch,
     held_out,
+    map_rows,
     marked,
     slices,
     text_buffers,
@@ -162,7 +163,7 @@ def learn(docs: DataFrame, may_learn: Column | None = None) -> LanguageModel:
         yield pa.RecordBatch.from_arrays(columns, names=["lang", "runs", "used"])
 
     schema = "lang string, runs binary, used binary"
-    partial = texts.select("lang", "text").mapInArrow(count, schema)
+    partial = map_rows(texts.select("lang", "text"), count, schema)
     rows = partial.groupBy("lang").applyInArrow(add, schema).limit(MAX_LANGUAGES + 1).collect()
     if len(rows) > MAX_LANGUAGES:
         raise ValueError(f"more than {MAX_LANGUAGES} languages")
@@ -313,4 +314,4 @@ def label_spans(docs: DataFrame, model: LanguageModel, switch: float = SWITCH) -
         "doc_id long, lang_pred string, score double, "
         "spans array<struct<start: int, end: int, lang: string>>"
     )
-    return docs.select("doc_id", "text").mapInArrow(run, schema)
+    return map_rows(docs.select("doc_id", "text"), run, schema)

@@ -24,6 +24,7 @@ from .textops import (
     constants,
     fetch,
     list_array,
+    map_rows,
     mix,
     non_space,
     shingle_sets,
@@ -114,7 +115,7 @@ def prints(docs: DataFrame, width: int) -> DataFrame:
                 names=["doc_id", "n_shingles", "d1", "d2", "sig", *_PLANE, *_ODD],
             )
 
-    return docs.select("doc_id", "text").mapInArrow(run, _PRINT)
+    return map_rows(docs.select("doc_id", "text"), run, _PRINT)
 
 
 def _chunk_keys(reps: DataFrame) -> DataFrame:
@@ -140,7 +141,7 @@ def _chunk_keys(reps: DataFrame) -> DataFrame:
                 [pa.array(signed(keys.ravel())), pa.array(ids)], names=["key", "doc_id"]
             )
 
-    return reps.select("doc_id", "sig").mapInArrow(run, "key long, doc_id long")
+    return map_rows(reps.select("doc_id", "sig"), run, "key long, doc_id long")
 
 
 def _chance(a: str, b: str, threshold: float) -> Column:
@@ -184,7 +185,7 @@ def _confirmed(
             )
 
     texts = fetch(docs.select(F.col("doc_id").cast("long"), "text"), ids)
-    full = texts.mapInArrow(sets, "doc_id long, members array<long>")
+    full = map_rows(texts, sets, "doc_id long, members array<long>")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -204,7 +205,7 @@ def _confirmed(
     lefts = full.select(F.col("doc_id").alias("a"), F.col("members").alias("left_set"))
     rights = full.select(F.col("doc_id").alias("b"), F.col("members").alias("right_set"))
     both = pairs.join(lefts, "a").join(rights, "b").select("a", "b", "left_set", "right_set")
-    return both.mapInArrow(compare, "a long, b long").distinct()
+    return map_rows(both, compare, "a long, b long").distinct()
 
 
 def components(links: DataFrame) -> DataFrame:

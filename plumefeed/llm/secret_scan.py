@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import slices, text_buffers
+from .textops import map_rows, slices, text_buffers
 
 # Strings that a stretch of a pattern may stand for before it is cut.
 MAX_STRINGS = 64
@@ -230,7 +230,7 @@ def find_secrets(
 
     kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
     span = F.lit(None).cast("array<struct<kind: string, start: int, end: int>>")
-    return docs.mapInArrow(run, docs.limit(0).withColumn(name, span).schema)
+    return map_rows(docs, run, docs.limit(0).withColumn(name, span).schema)
 
 
 def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRET]") -> DataFrame:
@@ -262,7 +262,7 @@ def redact(docs: DataFrame, rules: tuple[Rule, ...] = RULES, mark: str = "[SECRE
                     columns["n_chars"] = pa.array(sizes, columns["n_chars"].type)
             yield pa.RecordBatch.from_arrays(list(columns.values()), names=names)
 
-    return docs.mapInArrow(run, docs.schema)
+    return map_rows(docs, run, docs.schema)
 
 
 def digest(found: DataFrame, base: tuple[Rule, ...] = BASE) -> DataFrame:

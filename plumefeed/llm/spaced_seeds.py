@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..config import materialize
-from .textops import ascii_words, constants, list_array, mix, signed, slices, words_of
+from .textops import ascii_words, constants, list_array, map_rows, mix, signed, slices, words_of
 
 # 1: the word counts, 0: it may be anything.
 MASKS = ("111111", "11011011", "1101100111", "10110100101")
@@ -68,7 +68,7 @@ def benchmark_words(items: DataFrame) -> DataFrame:
 
     schema = "item_id long, item_words array<long>, seeds array<long>, places array<long>"
     items = items.where("item_id is not null").select("item_id", "text")
-    return items.mapInArrow(run, schema)
+    return map_rows(items, run, schema)
 
 
 def _filter_pages(seeds: DataFrame) -> np.ndarray:
@@ -136,7 +136,7 @@ def _regions(docs: DataFrame, bits: bytes) -> DataFrame:
     schema = (
         "doc_id long, base long, doc_words array<long>, seeds array<long>, places array<long>"
     )
-    found = docs.where("doc_id is not null").select("doc_id", "text").mapInArrow(run, schema)
+    found = map_rows(docs.where("doc_id is not null").select("doc_id", "text"), run, schema)
     return found.withColumn("region", F.xxhash64("doc_id", "base", "doc_words"))
 
 
@@ -215,7 +215,7 @@ def overlaps(
 
     names = ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_same"]
     columns = ["doc_id", "item_id", "base", "shift", "hits", "doc_words", "item_words"]
-    checked = full.select(*columns).mapInArrow(verify, ", ".join(f"{c} long" for c in names))
+    checked = map_rows(full.select(*columns), verify, ", ".join(f"{c} long" for c in names))
     order = F.struct(
         F.col("n_same").alias("same"),
         (-F.col("n_words")).alias("short"),

@@ -18,7 +18,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 # Text handled at a time inside a task; one longer text is handled alone.
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
+# Rows that travel to Python together.
+BATCH_BYTES = 8 << 20
 # Slots of the filter in front of a join by id; it bounds what is broadcast.
 SLOTS = 1 << 18
 
@@ -31,6 +33,18 @@ def kept(name: str, make: Callable[[], object]) -> object:
     return getattr(store, name)
 
 
+def map_rows(table: DataFrame, run: Callable, schema: object) -> DataFrame:
+    """``mapInArrow`` in batches of at most ``BATCH_BYTES``, one row at least.
+
+    Executors hold a batch several times, on both sides. The session's own setting is
+    lowered to this if it is higher.
+    """
+    conf, name = table.sparkSession.conf, "spark.sql.execution.arrow.maxBytesPerBatch"
+    if int(conf.get(name).removesuffix("b")) > BATCH_BYTES:
+        conf.set(name, BATCH_BYTES)
+    return table.mapInArrow(run, schema)
+
+
 def as_text(column: pa.Array) -> pa.Array:
     """Strings with 64-bit offsets, nulls as empty strings."""
     return pc.fill_null(column.cast(pa.large_string()), "")
@@ -185,13 +199,13 @@ def fetch(table: DataFrame, ids: DataFrame, key: str = "doc_id") -> DataFrame:
     """Rows of ``table`` joined with the distinct ``ids`` by ``key``.
 
     Only rows whose hashed slot is wanted are shuffled. The slots are bounded by ``SLOTS``,
-    so they are broadcast whatever the number of ids. ``ids`` should be a written table, as
-    it is read twice.
+    so they are broadcast whatever the number of ids. The ids themselves may be many and are
+    never broadcast. ``ids`` should be a written table, as it is read twice.
     """
     slot = F.pmod(F.xxhash64(key), F.lit(SLOTS))
     slots = ids.select(slot.alias("__slot")).distinct()
     near = table.withColumn("__slot", slot).join(F.broadcast(slots), "__slot", "left_semi")
-    return near.drop("__slot").join(ids, key)
+    return near.drop("__slot").join(ids.hint("merge"), key)
 
 
 def held_out(key: str = "doc_id") -> Column:

@@ -20,7 +20,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .textops import _powers, as_text, constants, kept, mix, slices, text_buffers
+from .textops import _powers, as_text, constants, kept, map_rows, mix, slices, text_buffers
 
 BLANK = "▁"
 # Segment counts a Python worker remembers.
@@ -187,7 +187,6 @@ def count_tokens(docs: DataFrame, model: str = "piece_bpe_32k.model", limit: int
                 names=["doc_id", "n_bytes", "n_tokens"],
             )
 
-    counted = docs.select("doc_id", "text").mapInArrow(
-        run, "doc_id long, n_bytes long, n_tokens long"
+    counted = map_rows(docs.select("doc_id", "text"), run, "doc_id long, n_bytes long, n_tokens long"
     )
     return counted.withColumn("over_limit", F.col("n_tokens") > limit)

@@ -22,6 +22,7 @@ from .textops import (
     bounded_sample,
     fetch,
     held_out,
+    map_rows,
     marked,
     slices,
     words_of,
@@ -137,7 +138,7 @@ def learn(docs: DataFrame, labels: DataFrame, may_learn: Column | None = None) -
         )
 
     sample = texts.select("doc_id", "text", F.col("__toxic")).repartition(1)
-    model = sample.mapInArrow(run, "value binary, bias double").collect()
+    model = map_rows(sample, run, "value binary, bias double").collect()
     return (bytes(model[0].value), model[0].bias) if model else (bytes(4 << BITS), -20.0)
 
 
@@ -179,7 +180,7 @@ def score(
             )
 
     schema = docs.limit(0).select("*", F.lit(0.0).alias(names[0]), F.lit(0).alias(names[1])).schema
-    return docs.mapInArrow(run, schema)
+    return map_rows(docs, run, schema)
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
