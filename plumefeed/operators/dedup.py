@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -36,22 +37,25 @@ def drop_repeats_in_task(posts: DataFrame, *key: str) -> DataFrame:
     """Drop rows whose key was already seen by the same task; the first one stays.
 
     A stateful dedup sends every row to the task that owns its id. This thins out the
-    copies of a frequent id before that; it may miss some, so it replaces nothing.
+    copies of a frequent id before that; it may miss some, so it replaces nothing. Only the
+    keys are looked at, the rows stay where they are.
     """
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    @F.arrow_udf("boolean")
+    def is_new(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
         seen: set = set()
-        for batch in batches:
+        for keys in batches:
             if len(seen) > SEEN_LIMIT:
                 seen.clear()
-            keep = []
-            for i, k in enumerate(zip(*(batch.column(c).to_pylist() for c in key))):
-                if k not in seen:
-                    seen.add(k)
-                    keep.append(i)
-            yield batch if len(keep) == batch.num_rows else batch.take(pa.array(keep, pa.int64()))
-
-    return posts.mapInArrow(run, posts.schema)
+            codes = keys.dictionary_encode()
+            _, first = np.unique(codes.indices.to_numpy(zero_copy_only=False), return_index=True)
+            values = codes.dictionary.to_pylist()
+            new = np.zeros(len(keys), bool)
+            new[first[[v not in seen for v in values]]] = True
+            seen.update(values)
+            yield pa.array(new)
+
+    return posts.where(is_new.asNondeterministic()(F.to_json(F.struct(*key))))
 
 
 def dedup_stream(posts: DataFrame, mode: str = "exact", delay: str = "10 minutes") -> DataFrame:

@@ -2,6 +2,11 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -59,22 +64,76 @@ def latest_profiles(requests: DataFrame) -> DataFrame:
     )
 
 
+# Sums of vectors that a task holds before it passes them on.
+HELD_BYTES = 32 << 20
+_SUMS = "userId string, n bigint, lo int, hi int, total array<double>"
+
+
+def _add_up(rows: list[pa.RecordBatch], vectors: str, dim: int) -> pa.RecordBatch:
+    """One row per user: rows, shortest and longest vector, sum of those of length ``dim``."""
+    table = pa.Table.from_batches(rows).combine_chunks()
+    users = table.column("userId").combine_chunks().dictionary_encode(null_encoding="encode")
+    code = users.indices.to_numpy(zero_copy_only=False)
+    size = len(users.dictionary)
+    lists = table.column(vectors).combine_chunks()
+    length = pc.fill_null(pc.list_value_length(lists), 0)
+    whole = pc.equal(length, dim)
+    flat = pc.fill_null(pc.list_flatten(lists.filter(whole)).cast(pa.float64()), 0.0)
+    at = code[whole.to_numpy(zero_copy_only=False)]
+    total = np.zeros((size, dim))
+    np.add.at(total, at, flat.to_numpy().reshape(len(at), dim))
+    if "n" in table.column_names:
+        n, lo, hi = (table.column(c).to_numpy() for c in ("n", "lo", "hi"))
+    else:
+        n, lo = np.ones(len(code), np.int64), length.to_numpy(zero_copy_only=False)
+        hi = lo
+    least, most = np.full(size, np.iinfo(np.int32).max), np.full(size, -1)
+    np.minimum.at(least, code, lo)
+    np.maximum.at(most, code, hi)
+    columns = [
+        users.dictionary.cast(pa.string()),
+        pa.array(np.bincount(code, n, size).astype(np.int64)),
+        pa.array(least, pa.int32()),
+        pa.array(most, pa.int32()),
+        pa.ListArray.from_arrays(pa.array(np.arange(size + 1, dtype=np.int32) * dim), pa.array(total.ravel())),
+    ]
+    return pa.RecordBatch.from_arrays(columns, names=["userId", "n", "lo", "hi", "total"])
+
+
 def mean_profiles(
     interests: DataFrame, dim: int, settings: FeedSettings = FeedSettings()
 ) -> DataFrame:
     """Profiles of users whose interest vectors are rows ``(userId, embedding)``.
 
-    Sums run as plain aggregates with partial results per task, so a user with very many
-    rows never gathers them in one place. Returns ``profile`` or ``reason`` per user.
+    Every task adds up its rows per user as matrices, so a user with very many rows is one
+    row per task after that. Returns ``profile`` or ``reason`` per user.
     """
-    v = F.col("embedding")
-    sums = [F.sum(F.get(v, F.lit(i)).cast("double")).alias(f"_s{i}") for i in range(dim)]
-    per_user = interests.groupBy("userId").agg(
-        F.count("*").alias("_n"), F.min(F.size(v)).alias("_min"), F.max(F.size(v)).alias("_max"), *sums
+    most = max(1, HELD_BYTES // (8 * dim))
+
+    def partial(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.RecordBatch] = []
+        for batch in batches:
+            held.append(_add_up([batch], "embedding", dim))
+            if sum(len(h) for h in held) > most:
+                held = [_add_up(held, "total", dim)]
+                if len(held[0]) > most // 2:
+                    yield held.pop()
+        if held:
+            yield _add_up(held, "total", dim)
+
+    def whole(key: tuple, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield _add_up(list(batches), "total", dim)
+
+    sums = interests.select("userId", "embedding").mapInArrow(partial, _SUMS)
+    per_user = sums.groupBy("userId").applyInArrow(whole, _SUMS)
+    mean = F.transform("total", lambda x: x / F.col("n"))
+    means = per_user.select(
+        "userId",
+        F.col("n").cast("int").alias("interestCount"),
+        F.col("lo").alias("_min"),
+        F.col("hi").alias("_max"),
+        mean.alias("_mean"),
     )
-    mean = F.array(*[F.col(f"_s{i}") / F.col("_n") for i in range(dim)])
-    n = F.col("_n").cast("int")
-    means = per_user.select("userId", n.alias("interestCount"), "_min", "_max", mean.alias("_mean"))
     reason = (
         F.coalesce(
             _count_reason(F.col("interestCount"), settings),

@@ -5,6 +5,7 @@ import pytest
 from conftest import rows
 from pyspark.sql import functions as F
 
+from plumefeed import FeedSettings
 from plumefeed.functions.embedder import HashingEmbedder, embed
 from plumefeed.operators import index, profile
 from plumefeed.sources.points import PointTable
@@ -202,4 +203,15 @@ def test_profiles_from_vectors(spark):
 def test_mean_combines_a_hot_user_before_the_shuffle(spark):
     df = spark.createDataFrame([("a", [1.0, 0.0])], "userId string, embedding array<float>")
     plan = profile.mean_profiles(df, 2)._jdf.queryExecution().executedPlan().toString()
-    assert "partial_sum" in plan and "collect_list" not in plan
+    # Read upwards: summed per task, then dealt out by user, then added up.
+    assert plan.index("FlatMapGroupsInArrow") < plan.index("Exchange") < plan.index("MapInArrow")
+
+    hot = spark.range(0, 2000, 1, 4).select(
+        F.concat(F.lit("u"), F.when(F.col("id") % 3 == 0, 0).otherwise(F.col("id")).cast("string")).alias("userId"),
+        F.array(F.col("id").cast("float"), F.lit(1.0).cast("float")).alias("embedding"),
+    )
+    settings = FeedSettings(max_interests=10_000)
+    profile_ = {r.userId: r for r in profile.mean_profiles(hot, 2, settings).collect()}["u0"]
+    ids = np.arange(0, 2000, 3)
+    assert profile_.interestCount == len(ids)
+    assert profile_.profile == pytest.approx(np.array([ids.mean(), 1]) / np.hypot(ids.mean(), 1), abs=1e-6)
