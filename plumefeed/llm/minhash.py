@@ -6,7 +6,7 @@ the pigeonhole principle, a chunk with at most ``ERRORS`` wrong symbols. Every c
 wrong symbols is enumerated per chunk and the remaining ones form a key, so all pairs under
 that distance share a key. Pairs with a shared key are confirmed on the full sets.
 
-Sets of a similarity of 0.8 share a key except in about one of 500,000 cases.
+Sets of a similarity of 0.8 share a key except in about one of 600,000 cases.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ PLANES = 4
 # Words of 64 bits of a set's parity sketch.
 PARITY = 16
 # At a similarity of 0.8 some 9 symbols differ, give or take 3; more than this many do in one
-# of three million pairs, and such a pair is not compared. Below it the full sets decide.
+# of 1.6 million pairs, and such a pair is not compared. Below it the full sets decide.
 REJECT = 24
 HUB_ROUNDS = 2
 
