@@ -2,13 +2,14 @@
 
 A seed is a fixed mask over consecutive words; only the words at its marked positions are
 hashed, so a substituted word at an ignored position does not hide a match. Hashes of
-benchmark and documents are joined, and every hit is extended along its diagonal in both
-directions, tolerating substitutions.
+benchmark and documents are joined, and on the diagonal of every hit all stretches are
+looked at, tolerating substitutions.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from fractions import Fraction
 
 import numpy as np
 import pyarrow as pa
@@ -20,11 +21,10 @@ from .textops import ascii_words, constants, list_array, map_rows, mix, signed,
 
 # 1: the word counts, 0: it may be anything.
 MASKS = ("111111", "11011011", "1101100111", "10110100101")
-# Words kept on either side of a hit, where the overlap is looked for.
+# Words between hits that make one region; an item's length is kept on either side of it.
 CONTEXT = 48
 # Bits of the filter with the benchmark's hashes: 4 MB on every executor, whatever its size.
 FILTER_BITS = 1 << 25
-MATCH, MISS, DROP = 1, -2, 8
 
 
 def _seeds(codes: np.ndarray, first: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
@@ -91,8 +91,11 @@ def _filter_pages(seeds: DataFrame) -> np.ndarray:
     return out.ravel()
 
 
-def _regions(docs: DataFrame, bits: bytes) -> DataFrame:
-    """Stretches of documents around words whose seeds pass the filter."""
+def _regions(docs: DataFrame, bits: bytes, longest: int) -> DataFrame:
+    """Stretches of documents around words whose seeds pass the filter.
+
+    ``longest`` words on either side hold all of an item that lies over a hit.
+    """
     half = FILTER_BITS // 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -120,8 +123,8 @@ def _regions(docs: DataFrame, bits: bytes) -> DataFrame:
             new[1:] = (row[1:] != row[:-1]) | (np.diff(where) > 2 * CONTEXT)
             begin = np.flatnonzero(new)
             stop = np.append(begin[1:], len(where))[: len(begin)]
-            low = np.maximum(where[begin] - CONTEXT, words.first[row[begin]])
-            high = np.minimum(where[stop - 1] + CONTEXT, words.first[row[begin] + 1])
+            low = np.maximum(where[begin] - longest, words.first[row[begin]])
+            high = np.minimum(where[stop - 1] + longest, words.first[row[begin] + 1])
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id").take(pa.array(row[begin])).cast(pa.int64()),
@@ -140,29 +143,27 @@ def _regions(docs: DataFrame, bits: bytes) -> DataFrame:
     return found.withColumn("region", F.xxhash64("doc_id", "base", "doc_words"))
 
 
-def _extent(same: np.ndarray, hits: np.ndarray) -> tuple[int, int]:
-    """The best stretch of one diagonal around a hit, by an X-drop walk to both sides.
+def _extent(same: np.ndarray, identity: float) -> tuple[int, int]:
+    """The stretch of one diagonal with most equal words among all with a share of ``identity``.
 
-    ``same`` marks equal words. A walk ends once its score is ``DROP`` below its best.
+    ``same`` marks equal words. Of stretches with as many equal words the shortest counts, then
+    the first. Sums over words never fall below zero in a stretch that has the share, so the
+    last end that fits a begin is found in the maxima of the sums that follow. Whole numbers
+    keep a share of exactly ``identity``.
     """
-    gain = np.where(same, MATCH, MISS)
-    best = (0, 0)
-    done = -1
-    for hit in hits.tolist():
-        if hit < done:
-            continue
-        right = np.cumsum(gain[hit:])
-        cut = np.flatnonzero(right < np.maximum.accumulate(right) - DROP)
-        right = right[: cut[0] if len(cut) else len(right)]
-        end = hit + int(np.argmax(right)) + 1
-        left = np.cumsum(gain[:hit][::-1])
-        cut = np.flatnonzero(left < np.maximum.accumulate(np.maximum(left, 0)) - DROP)
-        left = left[: cut[0] if len(cut) else len(left)]
-        start = hit - (int(np.argmax(left)) + 1 if len(left) and left.max() > 0 else 0)
-        if gain[start:end].sum() > gain[best[0] : best[1]].sum():
-            best = (start, end)
-        done = end
-    return best
+    share = Fraction(str(identity))
+    begins = np.flatnonzero(same)
+    if not len(begins):
+        return 0, 0
+    total = np.zeros(len(same) + 1, np.int64)
+    np.cumsum(np.where(same, share.denominator - share.numerator, -share.numerator), out=total[1:])
+    # Sums after each equal word, as no best stretch ends elsewhere; falling from the left.
+    after = np.maximum.accumulate(total[begins + 1][::-1])[::-1]
+    last = np.searchsorted(-after, -total[begins], "right") - 1
+    equal = last - np.arange(len(begins)) + 1
+    size = begins[last] - begins + 1
+    best = np.lexsort((begins, size, -equal))[0]
+    return int(begins[best]), int(begins[last[best]]) + 1
 
 
 def overlaps(
@@ -183,16 +184,15 @@ def overlaps(
     seeds = bench.select("item_id", F.explode(F.arrays_zip("seeds", "places")).alias("s"))
     seeds = seeds.select("item_id", F.col("s.seeds").alias("seed"), F.col("s.places").alias("item_at"))
     bits = _filter_pages(seeds).tobytes()
-    regions = materialize(_regions(docs, bits), "regions")
+    longest = bench.agg(F.max(F.size("item_words"))).first()[0] or 0
+    regions = materialize(_regions(docs, bits, longest), "regions")
     hits = regions.select(
         "doc_id", "region", F.explode(F.arrays_zip("seeds", "places")).alias("s")
     ).select("doc_id", "region", F.col("s.seeds").alias("seed"), F.col("s.places").alias("doc_at"))
     found = hits.join(seeds, "seed").select(
-        "doc_id", "region", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift"), "item_at"
-    )
-    lines = found.groupBy("doc_id", "region", "item_id", "shift").agg(
-        F.array_sort(F.collect_set("item_at")).alias("hits")
+        "doc_id", "region", "item_id", (F.col("doc_at") - F.col("item_at")).alias("shift")
     )
+    lines = found.distinct()
     with_doc = lines.join(regions.select("doc_id", "region", "base", "doc_words"), ["doc_id", "region"])
     full = with_doc.join(bench.select("item_id", "item_words"), "item_id")
 
@@ -201,20 +201,18 @@ def overlaps(
             out = []
             columns = [batch.column(c) for c in ("doc_id", "item_id", "base", "shift")]
             for i, (doc, item, base, shift) in enumerate(zip(*(c.to_pylist() for c in columns))):
-                text, ref, at = (
-                    batch.column(c)[i].values.to_numpy() for c in ("doc_words", "item_words", "hits")
-                )
+                text, ref = (batch.column(c)[i].values.to_numpy() for c in ("doc_words", "item_words"))
                 low, high = max(0, -shift), min(len(ref), len(text) - shift)
                 same = ref[low:high] == text[low + shift : high + shift]
-                start, end = _extent(same, at - low)
+                start, end = _extent(same, identity)
                 equal = int(same[start:end].sum())
-                if end > start and equal >= min(min_words, len(ref)) and equal >= identity * (end - start):
+                if end > start and equal >= min(min_words, len(ref)):
                     out.append((doc, item, base + shift + low + start, low + start, end - start, equal))
             columns = list(zip(*out)) if out else [()] * 6
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in columns], names=names)
 
     names = ["doc_id", "item_id", "doc_start", "item_start", "n_words", "n_same"]
-    columns = ["doc_id", "item_id", "base", "shift", "hits", "doc_words", "item_words"]
+    columns = ["doc_id", "item_id", "base", "shift", "doc_words", "item_words"]
     checked = map_rows(full.select(*columns), verify, ", ".join(f"{c} long" for c in names))
     order = F.struct(
         F.col("n_same").alias("same"),

@@ -2,6 +2,9 @@
 
 import random
 import re
+from itertools import combinations
+
+import numpy as np
 
 from plumefeed.llm import spaced_seeds
 
@@ -70,3 +73,41 @@ def test_odd_rows(spark, odd, nothing):
     left = spaced_seeds.drop_contaminated(odd, items)
     assert left.columns == odd.columns
     assert left.count() == odd.count() - 2
+
+
+def every_stretch(same, identity=0.8):
+    """Most equal words, then shortest, then first, of all stretches with the share."""
+    fits = [
+        (-sum(same[a:b]), b - a, a, b)
+        for a in range(len(same))
+        for b in range(a + 1, len(same) + 1)
+        if sum(same[a:b]) * 10 >= round(identity * 10) * (b - a) and any(same[a:b])
+    ]
+    return min(fits)[2:] if fits else (0, 0)
+
+
+def test_extent_equals_all_stretches():
+    rng = random.Random(9)
+    lines = [[i not in gone for i in range(n)] for n in (15, 16) for gone in combinations(range(n), 3)]
+    for _ in range(300):
+        share = rng.choice([0.5, 0.7, 0.78, 0.9])
+        lines.append([rng.random() < share for _ in range(rng.randrange(1, 60))])
+    for same in lines:
+        assert spaced_seeds._extent(np.array(same), 0.8) == every_stretch(same), same
+
+
+def test_substitutions_near_the_ends_and_poor_surroundings(spark, documents):
+    rng = random.Random(5)
+    word = lambda: "".join(rng.choice("abcdefgh") for _ in range(6))
+    short, long = [word() for _ in range(15)], [word() for _ in range(140)]
+    items = spark.createDataFrame([(0, " ".join(short), 0, "x"), (1, " ".join(long), 1, "x")], ITEMS)
+    # Of the long passage 12 words in a row are left, then three of four, far to the right.
+    poor = {i for i in range(140) if not 10 <= i < 22 and i % 4 == 0} | {22, 23, 24}
+    changes = [(short, gone) for gone in ({4, 5}, {1, 13}, {0, 7, 14}, {1, 3, 12})] + [(long, poor)]
+    rows, expected = [], {}
+    for k, (passage, gone) in enumerate(changes):
+        copy = [word() if i in gone else w for i, w in enumerate(passage)]
+        rows.append((k, " ".join([word() for _ in range(30)] + copy + [word() for _ in range(30)]), "en"))
+        a, b = every_stretch([i not in gone for i in range(len(passage))])
+        expected[(k, int(passage is long))] = (30 + a, a, b - a, sum(i not in gone for i in range(a, b)))
+    assert overlaps(documents(rows), items) == expected
