@@ -191,12 +191,12 @@ def _one(text: pa.Array) -> pa.RecordBatch:
 
 
 def judge_quality(
-    docs: DataFrame, trusted: DataFrame, quantile: float = 0.99, slack: float = 1.15, least: int = 20
+    docs: DataFrame, trusted: DataFrame, quantile: float = 0.99, least: int = 20
 ) -> DataFrame:
     """``doc_id, lang, n_chars, perplexity, threshold, kept`` of every document.
 
-    A text is kept while its perplexity is at most ``slack`` times the ``quantile`` of the
-    trusted texts of its language; a language with fewer than ``least`` of them takes the
+    A text is kept while its perplexity is at most the ``quantile`` of the trusted texts of
+    its language; a language with fewer than ``least`` of them takes the
     quantile of all trusted texts. Null and empty texts have no perplexity and are not kept.
     With no trusted text at all there is no threshold, and every text with a character is
     kept. A null language is one of its own. Every row gives a row, also with a null or
@@ -210,7 +210,7 @@ def judge_quality(
     each = each.where(F.col("n") >= least).select("__lang", "at")
     whole = good.agg(at.alias("at")).first().at
     joined = measured.join(each, F.col("lang").eqNullSafe(F.col("__lang")), "left")
-    limit = F.coalesce("at", F.lit(whole).cast("double")) * slack
+    limit = F.coalesce("at", F.lit(whole).cast("double"))
     inside = F.coalesce(F.col("perplexity") <= F.col("threshold"), F.lit(True))
     return joined.withColumn("threshold", limit).select(
         "doc_id",

@@ -1,6 +1,7 @@
 """Perplexities against a plain Kneser-Ney model, and thresholds."""
 
 import math
+import os
 import random
 from collections import Counter, defaultdict
 
@@ -89,3 +90,28 @@ def test_odd_rows(spark, odd, odd_rows, nothing):
     untaught = kn.judge_quality(odd, none).collect()
     assert all(r.threshold is None and r.kept == (r.n_chars > 0) for r in untaught)
     assert kn.judge_quality(nothing, ids).collect() == []
+
+
+def test_threshold_is_the_quantile_itself(spark, sf):
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    quality = {r.doc_id: r.quality for r in labels.collect()}
+    rows = kn.judge_quality(docs, labels.where("quality = 1")).collect()
+    good = defaultdict(list)
+    for r in rows:
+        if quality.get(r.doc_id) == 1 and r.perplexity is not None:
+            good[r.lang].append(r.perplexity)
+    everyone = sorted(p for of_lang in good.values() for p in of_lang)
+    for r in rows:
+        trusted = sorted(good[r.lang]) if len(good[r.lang]) >= 20 else everyone
+        assert r.threshold == trusted[math.ceil(0.99 * len(trusted)) - 1]
+        assert r.kept == (r.perplexity is not None and r.perplexity <= r.threshold)
+
+
+def test_recall_on_poor_texts(spark):
+    sf = "/root/testdata/sf0.01"
+    if not os.path.isdir(sf):
+        pytest.skip("test tables are absent")
+    docs, labels = (spark.read.parquet(f"{sf}/{n}.parquet") for n in ("documents", "labels"))
+    judged = kn.judge_quality(docs, labels.where("quality = 1")).join(labels, "doc_id")
+    poor = [r.kept for r in judged.where("quality = 0").collect()]
+    assert len(poor) > 50 and sum(poor) <= 0.1 * len(poor)
