@@ -26,7 +26,7 @@ from ..streaming.progress import progress_frame
 from . import tables as src
 
 EMBEDDER = HashingEmbedder(src.DIM)
-SCAN, CELLS = KnnSettings(way="scan"), KnnSettings(way="cells")
+CELLS = KnnSettings(way="cells")
 
 
 def _round(c, digits: int = 6) -> Column:
@@ -402,7 +402,7 @@ def profile_count(spark: SparkSession, sf_dir: str) -> DataFrame:
 # --- feed -----------------------------------------------------------------------------
 
 
-def _hits(spark: SparkSession, sf_dir: str, search: KnnSettings = SCAN) -> DataFrame:
+def _hits(spark: SparkSession, sf_dir: str, search: KnnSettings = CELLS) -> DataFrame:
     users = profile.good_profiles(src.judged_profiles(spark, sf_dir))
     return knn(users, src.points(spark, sf_dir), FeedSettings().pool_size, src.DIM, search)
 
