@@ -18,16 +18,15 @@ from pyspark.sql import functions as F
 from ..config import materialize
 from .textops import fetch, map_rows, mix, non_space, signed, slices, text_buffers, words_of
 
-# Characters of a gram, and bits of a character in its packed form. Code points beyond the
-# last one are one character.
-ORDER, CHAR_BITS = 4, 15
-LAST = (1 << CHAR_BITS) - 1
+# Characters of a gram, and bits of a character in its packed form: all of Unicode. The last
+# three characters are one integer, ``gram``; the one before them is ``far``, 0 in shorter grams.
+ORDER, CHAR_BITS = 4, 21
 # Text of one block, and distinct grams a task adds up before it passes them on.
 BLOCK_BYTES, HELD_GRAMS = 8 << 20, 2_000_000
 
 
-def _grams(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
-    """The packed gram that ends at each character, and where each text begins.
+def _grams(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``far`` and ``gram`` that end at each character, and where each text begins.
 
     Places before the first character of a text are filled with 0, which no character is.
     """
@@ -36,34 +35,59 @@ def _grams(text: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     begins = np.zeros(len(raw) + 1, np.int64)
     np.cumsum((raw & 0xC0) != 0x80, out=begins[1:])
     rows = begins[at]
-    chars = np.clip(points.astype(np.int64), 1, LAST)
+    chars = points.astype(np.int64) + 1
     into = np.arange(len(chars)) - np.repeat(rows[:-1], np.diff(rows))
-    out = chars.copy()
+    far, gram = np.zeros_like(chars), chars.copy()
     for back in range(1, ORDER):
         before = np.zeros_like(chars)
         before[back:] = chars[:-back] if len(chars) > back else before[back:]
         before[into < back] = 0
-        out |= before << (CHAR_BITS * back)
-    return out, rows
+        if back == ORDER - 1:
+            far = before
+        else:
+            gram |= before << (CHAR_BITS * back)
+    return far, gram, rows
+
+
+def _code(far: np.ndarray, gram: np.ndarray) -> np.ndarray:
+    """64 bits that tell grams apart inside a task."""
+    return gram ^ signed(mix(far.astype(np.uint64)))
+
+
+def _added(parts: list[tuple[np.ndarray, np.ndarray, np.ndarray]]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Distinct grams in order, as ``far`` and ``gram``, and the sums of their counts."""
+    far, gram, n = (np.concatenate(c) for c in zip(*parts))
+    _, first, place = np.unique(_code(far, gram), return_index=True, return_inverse=True)
+    # Counts are far below 2**53, where doubles are exact.
+    n = np.bincount(place, n, len(first)).astype(np.int64)
+    far, gram = far[first], gram[first]
+    order = np.lexsort((gram, far))
+    return far[order], gram[order], n[order]
+
+
+def _distinct(text: pa.Array) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    far, gram, _ = _grams(text)
+    _, first, n = np.unique(_code(far, gram), return_index=True, return_counts=True)
+    return far[first], gram[first], n
 
 
 def _count_grams(texts: DataFrame) -> DataFrame:
-    """``gram, n`` over all texts, added up in each task before the shuffle."""
+    """``far, gram, n`` over all texts, added up in each task before the shuffle."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        grams, counts = np.empty(0, np.int64), np.empty(0, np.int64)
+        none = held = (np.empty(0, np.int64),) * 3
+        pack = lambda c: pa.RecordBatch.from_arrays(
+            [pa.array(c[0], pa.int32()), pa.array(c[1]), pa.array(c[2])], names=["far", "gram", "n"]
+        )
         for _, text in slices(batches):
-            new, times = np.unique(_grams(text)[0], return_counts=True)
-            both = np.concatenate([grams, new])
-            grams, place = np.unique(both, return_inverse=True)
-            counts = np.bincount(place, np.concatenate([counts, times]), len(grams)).astype(np.int64)
-            if len(grams) > HELD_GRAMS:
-                yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
-                grams, counts = grams[:0], counts[:0]
-        yield pa.RecordBatch.from_arrays([pa.array(grams), pa.array(counts)], names=["gram", "n"])
+            held = _added([held, _distinct(text)])
+            if len(held[0]) > HELD_GRAMS:
+                yield pack(held)
+                held = none
+        yield pack(held)
 
-    found = map_rows(texts.select("text"), run, "gram long, n long")
-    return found.groupBy("gram").agg(F.sum("n").alias("n"))
+    found = map_rows(texts.select("text"), run, "far int, gram long, n long")
+    return found.groupBy("far", "gram").agg(F.sum("n").alias("n"))
 
 
 def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordBatch, pa.Array]]:
@@ -77,17 +101,19 @@ def _blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[int, pa.RecordB
 
 
 def _probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
-    """``gram, logp`` for the distinct packed grams of ``asked`` (column ``gram``).
+    """``far, gram, logp`` for the distinct grams of ``asked`` (columns ``far, gram``).
 
     Orders below the highest count distinct left neighbours instead of occurrences. Each
     order has three discounts from its own counts of counts.
     """
     levels, wanted = {ORDER: counts}, {ORDER: asked}
+    none = F.lit(0).alias("far")
     for k in range(ORDER - 1, 0, -1):
         tail = F.col("gram").bitwiseAND(F.lit((1 << CHAR_BITS * k) - 1)).alias("gram")
         levels[k] = levels[k + 1].select(tail).groupBy("gram").agg(F.count("*").alias("n"))
-        levels[k] = materialize(levels[k], f"grams-{k}")
-        wanted[k] = materialize(wanted[k + 1].select(tail).distinct(), f"asked-{k}")
+        levels[k] = materialize(levels[k].select(none, "gram", "n"), f"grams-{k}")
+        wanted[k] = wanted[k + 1].select(tail).distinct().select(none, "gram")
+        wanted[k] = materialize(wanted[k], f"asked-{k}")
     # One more character than seen stands for all others.
     seen = levels[1].count()
     lower = wanted[1].select(F.lit(0).cast("long").alias("tail"), F.lit(1.0 / (seen + 1)).alias("low"))
@@ -101,7 +127,8 @@ def _probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
             min(max(i - (i + 1) * share * b / a, 0.1), i) if a and b else 0.5 * i
             for i, a, b in ((1, t1, t2), (2, t2, t3), (3, t3, t4))
         ]
-        head = F.shiftright("gram", CHAR_BITS).alias("head")
+        before = F.shiftleft(F.col("far").cast("long"), CHAR_BITS * (ORDER - 2))
+        head = F.shiftright("gram", CHAR_BITS).bitwiseOR(before).alias("head")
         has = lambda i: F.sum((F.col("n") == i).cast("long"))
         contexts = table.groupBy(head).agg(
             F.sum("n").alias("total"),
@@ -111,13 +138,15 @@ def _probabilities(counts: DataFrame, asked: DataFrame) -> DataFrame:
         )
         off = F.when(F.col("n") == 1, pull[0]).when(F.col("n") == 2, pull[1]).otherwise(pull[2])
         tail = F.col("gram").bitwiseAND(F.lit((1 << CHAR_BITS * (k - 1)) - 1)).alias("tail")
-        rows = wanted[k].select("gram", head, tail)
-        rows = rows.join(table, "gram", "left").join(contexts, "head", "left").join(lower, "tail")
+        rows = wanted[k].select("far", "gram", head, tail)
+        both = ["far", "gram"] if k == ORDER else ["gram"]
+        rows = rows.join(table.select(*both, "n"), both, "left").join(contexts, "head", "left").join(lower, "tail")
         own = F.coalesce((F.col("n") - off) / F.col("total"), F.lit(0.0))
         rest = F.coalesce(F.col("spare") / F.col("total"), F.lit(1.0))
         p = (own + rest * F.col("low")).alias("low")
-        lower = materialize(rows.select(F.col("gram").alias("tail"), p), f"order-{k}")
-    return lower.select(F.col("tail").alias("gram"), F.log("low").alias("logp"))
+        top = ["far"] if k == ORDER else []
+        lower = materialize(rows.select(*top, F.col("gram").alias("tail"), p), f"order-{k}")
+    return lower.select("far", F.col("tail").alias("gram"), F.log("low").alias("logp"))
 
 
 def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
@@ -133,15 +162,15 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, _, text in _blocks(batches):
-            parts = [np.unique(_grams(t)[0]) for _, t in slices(iter([_one(text)]))]
-            grams = np.unique(np.concatenate(parts))
+            far, gram, _ = _added([_distinct(t) for _, t in slices(iter([_one(text)]))])
             yield pa.RecordBatch.from_arrays(
-                [pa.array(np.full(len(grams), block)), pa.array(grams)], names=["block", "gram"]
+                [pa.array(np.full(len(gram), block)), pa.array(far, pa.int32()), pa.array(gram)],
+                names=["block", "far", "gram"],
             )
 
-    asked = materialize(map_rows(source, ask, "block long, gram long"), "asked")
-    known = _probabilities(counts, asked.select("gram").distinct())
-    answers = asked.join(known, "gram").select("block", "gram", "logp")
+    asked = materialize(map_rows(source, ask, "block long, far int, gram long"), "asked")
+    known = _probabilities(counts, asked.select("far", "gram").distinct())
+    answers = asked.join(known, ["far", "gram"]).select("block", "far", "gram", "logp")
 
     def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         options = pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", compression_level=6))
@@ -155,15 +184,17 @@ def perplexities(docs: DataFrame, trusted: DataFrame) -> DataFrame:
             )
 
     def measure(left: pa.Table, right: pa.Table) -> pa.Table:
-        right = right.sort_by("gram")
-        grams, logs = right.column("gram").to_numpy(), right.column("logp").to_numpy()
+        codes = _code(right.column("far").to_numpy(), right.column("gram").to_numpy())
+        order = np.argsort(codes)
+        codes, logs = codes[order], right.column("logp").to_numpy()[order]
         out = []
         for rows in left.column("rows").to_pylist():
             for batch in pa.ipc.open_stream(rows):
                 for piece, text in slices(iter([batch])):
-                    own, begins = _grams(text)
-                    at = np.searchsorted(grams, own)
-                    if len(own) and (at.max() >= len(grams) or (grams[at] != own).any()):
+                    far, gram, begins = _grams(text)
+                    own = _code(far, gram)
+                    at = np.searchsorted(codes, own)
+                    if len(own) and (at.max() >= len(codes) or (codes[at] != own).any()):
                         raise ValueError("the documents changed between two reads")
                     total = np.zeros(len(own) + 1)
                     np.cumsum(logs[at], out=total[1:])

@@ -115,3 +115,18 @@ def test_recall_on_poor_texts(spark):
     judged = kn.judge_quality(docs, labels.where("quality = 1")).join(labels, "doc_id")
     poor = [r.kept for r in judged.where("quality = 0").collect()]
     assert len(poor) > 50 and sum(poor) <= 0.1 * len(poor)
+
+
+def test_characters_beyond_the_first_32767_are_told_apart(spark, documents):
+    rng = random.Random(3)
+    syllables = [chr(c) for c in rng.sample(range(0xAC00, 0xD7A3), 40)] + ["😀", "🎉", "\U0010ffff"]
+    common = ["".join(rng.choice(syllables) for _ in range(3)) for _ in range(12)]
+    texts = {i: " ".join(rng.choice(common) for _ in range(30)) for i in range(20)}
+    texts[90] = "".join(chr(rng.randrange(0xAC00, 0xD7A3)) for _ in range(120))
+    texts[91] = "\x01\x02" * 9
+    ids = spark.createDataFrame([(i,) for i in range(10)], "doc_id long")
+    docs = documents([(i, t, "ko") for i, t in texts.items()])
+    got = {r.doc_id: r.perplexity for r in kn.perplexities(docs, ids).collect()}
+    for i, p in brute([texts[i] for i in range(10)], texts).items():
+        assert got[i] == pytest.approx(p, rel=1e-9)
+    assert got[90] > 10 * max(got[i] for i in range(20))
