@@ -1,5 +1,5 @@
 import pytest
-from conftest import rows
+from engine_helpers import rows
 from pyspark.sql import functions as F
 
 from plumefeed.constants import FEATURE_COLUMNS, POSITION

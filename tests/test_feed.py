@@ -1,7 +1,7 @@
 import random
 
 import pytest
-from conftest import rows
+from engine_helpers import rows
 from pyspark.sql import functions as F
 
 from plumefeed import FeedSettings

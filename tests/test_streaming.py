@@ -1,7 +1,7 @@
 import json
 import os
 
-from conftest import rows
+from engine_helpers import rows
 from pyspark.sql import functions as F
 from test_clean import line
 
