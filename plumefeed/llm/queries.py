@@ -10,6 +10,7 @@ from . import (
     knn_join,
     language_spans,
     license_scan,
+    merkle,
     minhash,
     packing,
     secret_scan,
@@ -73,6 +74,15 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    odd_one = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
+    tampered = F.when(odd_one, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    proved = merkle.manifest(docs, tampered)
+    proof = F.sha2(merkle.siblings(F.col("way")), 256).alias("proof_sha256")
+    return proved.select("doc_id", "leaf", "subroot", "root", proof, "folded_root", "verified")
+
+
 QUERIES = {
     "op1_decontamination": op1_decontamination,
     "op2_language_spans": op2_language_spans,
@@ -84,6 +94,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_toxicity": op10_toxicity,
+    "op13_merkle_manifest": op13_merkle_manifest,
 }
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
