@@ -13,11 +13,13 @@ from . import (
     merkle,
     minhash,
     packing,
+    rtree,
     secret_scan,
     spaced_seeds,
     token_counts,
     toxicity,
 )
+from .oracle import HARD_NEGATIVES_SQL, MERKLE_SQL
 from .textops import held_out
 
 
@@ -74,6 +76,12 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return rtree.hard_negatives(vectors.withColumn("label", moved), F.col("vec_id") % 50 == 0)
+
+
 def op13_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     odd_one = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 2 == 0, F.lit(False))
@@ -94,6 +102,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_toxicity": op10_toxicity,
+    "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
@@ -187,4 +196,6 @@ ORACLE: dict[str, str] = {
     "op4_license_scan": _license_sql(),
     "op7_knn_join": KNN_SQL,
     "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op12_hard_negatives": HARD_NEGATIVES_SQL,
+    "op13_merkle_manifest": MERKLE_SQL,
 }
