@@ -12,6 +12,7 @@ from . import (
     license_scan,
     merkle,
     minhash,
+    ngram_bands,
     packing,
     rtree,
     secret_scan,
@@ -76,6 +77,11 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out().alias("held_out"), "score", "predicted")
 
 
+def op11_ngram_bands(spark: SparkSession, sf_dir: str) -> DataFrame:
+    judged = ngram_bands.judge(table(spark, sf_dir, "documents"), stable=True)
+    return judged.select("doc_id", *ngram_bands.FACTS, "base_failed", "kept")
+
+
 def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
     vectors = table(spark, sf_dir, "embeddings")
     moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
@@ -102,6 +108,7 @@ QUERIES = {
     "op8_quality": op8_quality,
     "op9_near_duplicates": op9_near_duplicates,
     "op10_toxicity": op10_toxicity,
+    "op11_ngram_bands": op11_ngram_bands,
     "op12_hard_negatives": op12_hard_negatives,
     "op13_merkle_manifest": op13_merkle_manifest,
 }

@@ -136,8 +136,8 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return have["up"], have["down"]
 
 
-def words_of(text: pa.Array, word_bytes: np.ndarray) -> Words:
-    """Maximal runs of ``word_bytes`` in each text, hashed with A-Z as a-z."""
+def words_of(text: pa.Array, word_bytes: np.ndarray, fold: bool = True) -> Words:
+    """Maximal runs of ``word_bytes`` in each text, hashed, with A-Z as a-z if ``fold``."""
     data, at = text_buffers(text)
     inside = word_bytes[data]
     before = np.empty_like(inside)
@@ -151,13 +151,18 @@ def words_of(text: pa.Array, word_bytes: np.ndarray) -> Words:
     start = np.flatnonzero(inside & ~before)
     end = np.flatnonzero(inside & ~after) + 1
     first = np.searchsorted(start, at)
+    return Words(data, start, end, first, run_hashes(data, start, end, fold))
+
+
+def run_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, fold: bool = False) -> np.ndarray:
+    """Hash of the bytes from each ``start`` to its ``end``, with A-Z as a-z if ``fold``."""
     codes = constants(7, 256)
-    codes[0x41:0x5B] = codes[0x61:0x7B]
+    if fold:
+        codes[0x41:0x5B] = codes[0x61:0x7B]
     up, down = _powers(len(data) + 1)
     total = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(codes[data] * up[: len(data)], out=total[1:])
-    hashes = mix((total[end] - total[start]) * down[start])
-    return Words(data, start, end, first, hashes)
+    return mix((total[end] - total[start]) * down[start])
 
 
 def shingle_sets(words: Words, width: int) -> list[np.ndarray]:
