@@ -139,7 +139,7 @@ def grow(leaves: DataFrame) -> tuple[DataFrame, int]:
         is_root = F.col("level") == _height(F.col("n"))
         nodes = nodes.withColumn("way", F.when(is_root, F.slice("way", 1, 0)).otherwise(F.col("way")))
         nodes = materialize(nodes, f"level-{low}")
-        base = nodes.where(F.col("level") == low + STEP)
+        base = nodes.where((F.col("level") == low + STEP) & ~is_root)
         tables.append(nodes.where((F.col("level") < low + STEP) | is_root))
     whole = tables[0]
     for t in tables[1:]:
