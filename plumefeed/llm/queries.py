@@ -20,7 +20,7 @@ from . import (
     token_counts,
     toxicity,
 )
-from .oracle import HARD_NEGATIVES_SQL, MERKLE_SQL
+from .oracle import HARD_NEGATIVES_SQL, MERKLE_SQL, ngram_bands_sql
 from .textops import held_out
 
 
@@ -203,6 +203,7 @@ ORACLE: dict[str, str] = {
     "op4_license_scan": _license_sql(),
     "op7_knn_join": KNN_SQL,
     "op9_near_duplicates": NEAR_DUPLICATES_SQL,
+    "op11_ngram_bands": ngram_bands_sql(),
     "op12_hard_negatives": HARD_NEGATIVES_SQL,
     "op13_merkle_manifest": MERKLE_SQL,
 }
