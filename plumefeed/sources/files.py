@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from ..config import work_path
 from ..constants import FEATURE_COLUMNS, FIELD_SEP, POSITION
 from ..schemas import CSV_COLUMNS
+from . import csv_ranges
 from .rows import first_rows, with_file_position, with_row_index
 
 
@@ -26,56 +27,15 @@ def local_copy(spark: SparkSession, url: str) -> str:
 
 
 def read_posts_csv(spark: SparkSession, path: str) -> DataFrame:
-    """Post export at a path or web address: all strings, with row positions.
+    """Post export at a path or web address: all strings, with row positions and row numbers.
 
     Each file's header names its columns, in any order; columns a file lacks read as NULL.
-    The driver reads the header line of every file. Quoted fields may run over several
-    lines, so one file is one task: large exports should come as many files.
+    Quoted fields may run over several lines and over the splits of a file: a large file is
+    read by many tasks. A file with a header only has no rows.
     """
     if path.startswith(("http://", "https://")):
         path = local_copy(spark, path)
-    by_header: dict[str, list[str]] = {}
-    for file, header in _first_lines(spark, path):
-        by_header.setdefault(header, []).append(file)
-    out = None
-    for files in by_header.values() or [[path]]:
-        raw = (
-            spark.read.option("header", True)
-            .option("enforceSchema", False)
-            .option("multiLine", True)
-            .option("escape", '"')
-            .option("encoding", "UTF-8")
-            .option("inferSchema", False)
-            .csv(files)
-        )
-        present = set(raw.columns)
-        tagged = with_file_position(raw)
-        columns = [
-            (F.col(f"`{c}`") if c in present else F.lit(None).cast("string")).alias(c)
-            for c in CSV_COLUMNS
-        ]
-        part = tagged.select(*columns, "_file", "_start", "_pos")
-        out = part if out is None else out.unionByName(part)
-    return out
-
-
-def _first_lines(spark: SparkSession, path: str) -> list[tuple[str, str]]:
-    """Data files at a path and their first lines; empty files are left out."""
-    jvm = spark._jvm
-    place = jvm.org.apache.hadoop.fs.Path(path)
-    fs = place.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = []
-    for top in fs.globStatus(place) or []:
-        for status in fs.listStatus(top.getPath()) if top.isDirectory() else [top]:
-            if status.isFile() and status.getPath().getName()[0] not in "._" and status.getLen():
-                stream = fs.open(status.getPath())
-                try:
-                    reader = jvm.java.io.InputStreamReader(stream, "UTF-8")
-                    line = jvm.java.io.BufferedReader(reader).readLine()
-                finally:
-                    stream.close()
-                found.append((status.getPath().toString(), line))
-    return found
+    return csv_ranges.read_named(spark, path, list(CSV_COLUMNS))
 
 
 def read_feature_lines(

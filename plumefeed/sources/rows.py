@@ -40,8 +40,11 @@ def with_row_index(df: DataFrame, name: str = "row_index") -> DataFrame:
     """Add each row's 0-based index, files in path order.
 
     ``df`` must come from :func:`with_file_position` with no row dropped, so the rows of
-    a split have consecutive positions and the index follows by subtraction.
+    a split have consecutive positions and the index follows by subtraction. A frame that
+    has the index already is returned as it is.
     """
+    if name in df.columns:
+        return df
     return (
         df.join(_split_bounds(df), ["_file", "_start"])
         .withColumn(name, F.col("_before") + F.col("_pos") - F.col("_first"))

@@ -1,0 +1,139 @@
+"""One CSV file read by many tasks, against Spark's reader of whole files."""
+
+import random
+
+import pytest
+from engine_helpers import rows
+
+from plumefeed.schemas import CSV_COLUMNS
+from plumefeed.sources import csv_ranges, files
+
+WIDE = ["id", "description", "name", "likes"]
+
+
+@pytest.fixture
+def small_splits(spark):
+    names = ("spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes", "spark.sql.files.minPartitionNum")
+    before = {n: spark.conf.get(n, None) for n in names}
+
+    def use(size):
+        for n, v in zip(names, (str(size), "1", "1")):
+            spark.conf.set(n, v)
+
+    yield use
+    for n, v in before.items():
+        spark.conf.unset(n) if v is None else spark.conf.set(n, v)
+
+
+def quoted(value):
+    return '"' + value.replace('"', '""') + '"' if any(c in value for c in ',"\n\r') else value
+
+
+def reader(spark, path):
+    """The way that reads a file in one task."""
+    read = spark.read.option("header", True).option("multiLine", True).option("escape", '"')
+    return read.option("inferSchema", False).csv(path)
+
+
+def body(seed, n, end="\n"):
+    rng = random.Random(seed)
+    bits = ["plain", "a,b", 'say ""hi""', "line\nbreak", '"', "", " lead", "x" * 70, "\n\n", "ä€😀", "tail\n", "end,\n"]
+    out = [",".join(WIDE)]
+    for i in range(n):
+        text = "".join(rng.choice(bits) for _ in range(rng.randrange(5)))
+        name = rng.choice(["", "Ann", 'B "C" D', "two\nlines, one\n name"])
+        out.append(",".join([str(i), quoted(text), quoted(name), rng.choice(["3", "", "x y"])]))
+        if rng.random() < 0.1:
+            out.append("")
+    return end.join(out) + (end if seed % 2 else "")
+
+
+@pytest.mark.parametrize("size", [40, 301, 5000])
+def test_one_file_many_tasks_equals_the_reader(spark, small_splits, tmp_path, size):
+    path = tmp_path / "one.csv"
+    path.write_text(body(size, 150), encoding="utf-8", newline="")
+    expected = rows(reader(spark, str(path)).select(*WIDE))
+    small_splits(size)
+    assert spark.read.text(str(path)).rdd.getNumPartitions() > 1
+    got = csv_ranges.read_named(spark, str(path), WIDE)
+    assert rows(got, *WIDE) == expected
+    numbered = got.orderBy("row_index").collect()
+    assert [(r.row_index, r.id) for r in numbered] == [(i, str(i)) for i in range(150)]
+    places = {}
+    for r in numbered:
+        places.setdefault(r._start, []).append(r._pos)
+    assert all(p == list(range(p[0], p[0] + len(p))) for p in places.values())
+
+
+def test_carriage_returns_and_several_headers(spark, small_splits, tmp_path):
+    (tmp_path / "a.csv").write_bytes(b'id,description\r\n1,"x\r\ny"\r\n2,plain\r\n')
+    (tmp_path / "b.csv").write_bytes(b'name,id\nn,3\n"no, n",4')
+    (tmp_path / "c.csv").write_bytes(b"id,description\n")
+    (tmp_path / "d.csv").write_bytes(b"")
+    small_splits(9)
+    with pytest.raises(Exception, match="header"):
+        csv_ranges.read_named(spark, str(_long_header(tmp_path)), WIDE).collect()
+    small_splits(16)
+    got = csv_ranges.read_named(spark, str(tmp_path / "[a-d].csv"), WIDE)
+    assert [tuple(r) for r in got.orderBy("row_index").select("row_index", *WIDE).collect()] == [
+        (0, "1", "x\r\ny", None, None),
+        (1, "2", "plain", None, None),
+        (2, "3", None, "n", None),
+        (3, "4", None, "no, n", None),
+    ]
+
+
+def _long_header(tmp_path):
+    folder = tmp_path / "long"
+    folder.mkdir()
+    (folder / "h.csv").write_bytes(b'"id\nover\nseveral\nlines\nof text",name\n1,2\n')
+    return folder / "h.csv"
+
+
+def test_a_field_over_many_splits_and_one_never_closed(spark, small_splits, tmp_path):
+    long = "\n".join(f"line {i}" for i in range(400))
+    path = tmp_path / "f.csv"
+    path.write_text(f'id,description\n1,"{long}"\n2,b\n3,"open\n4,x\n5', encoding="utf-8")
+    small_splits(64)
+    got = csv_ranges.read_named(spark, str(path), ["id", "description"])
+    assert rows(got, "row_index", "id", "description")[:2] == [(0, "1", long), (1, "2", "b")]
+    last = rows(got, "row_index", "id", "description")[2:]
+    assert [r[:2] for r in last] == [(2, "3")] and last[0][2].startswith("open\n4,x")
+
+
+def test_quotes_that_open_nothing(spark, small_splits, tmp_path):
+    """A quote inside an unquoted field is an ordinary character."""
+    path = tmp_path / "q.csv"
+    path.write_text('id,description\n1,5" nail\n2,a"b"c\n3,"q"\n4,""\n5,"x, ""y"" "\n', encoding="utf-8")
+    expected = rows(reader(spark, str(path)).select("id", "description"))
+    small_splits(20)
+    assert rows(csv_ranges.read_named(spark, str(path), ["id", "description"]), "id", "description") == expected
+
+
+@pytest.mark.parametrize(
+    ("line", "inside", "expected"),
+    [
+        ("a,b", False, False),
+        ('a,"b', False, True),
+        ('a,"b""', False, True),
+        ('a,"b"""', False, False),
+        ('a"b,c', False, False),
+        ('a,"b"c,"d', False, True),
+        ("anything, here", True, True),
+        ('x",y', True, False),
+        ('x","y', True, True),
+        ('x""', True, True),
+        ("", True, True),
+        ('"', True, False),
+        ('"', False, True),
+        ('""', False, False),
+    ],
+)
+def test_ends_inside(line, inside, expected):
+    assert csv_ranges.ends_inside(line, inside) == expected
+
+
+def test_empty_places(spark, tmp_path):
+    (tmp_path / "e.csv").write_bytes(b"")
+    got = files.read_posts_csv(spark, str(tmp_path))
+    assert got.collect() == [] and set(CSV_COLUMNS) <= set(got.columns)
