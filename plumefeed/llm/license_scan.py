@@ -1,7 +1,8 @@
 """License notices by an exact set-similarity join of text blocks with templates.
 
-Native columns and joins only. A block is a window of words; a template is found in it if
-the block holds at least ``threshold`` of the template's distinct words. Words are ordered
+Native columns and joins only. A block is a window of words, wide enough for every template
+that is looked for in it; a template is found in a block that holds at least ``threshold`` of
+the template's distinct words. Words are ordered
 by how many documents hold them, rarest first. A block that meets the threshold must hold
 one of the template's first words (prefix filter), must be long enough (length filter), and
 behind the first common word enough words must be left on both sides (positional filter).
@@ -55,15 +56,17 @@ TEMPLATES = (
     ),
     ("unlicense", "this is free and unencumbered software released into the public domain"),
 )
-# Every passage of STEP + 1 words lies within one block.
-BLOCK, STEP = 64, 32
+# Blocks of 2 * step words begin every step words, so every passage of step + 1 words lies
+# within one. Steps are this one, doubled until a template fits.
+STEP = 32
 
+UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 NOT_WORD = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
 
 def words(text: Column) -> Column:
-    """Runs of digits, lower-cased letters and non-ASCII characters."""
-    parts = F.split(F.lower(F.coalesce(text, F.lit(""))), NOT_WORD)
+    """Runs of digits, letters (A-Z in lower case) and non-ASCII characters."""
+    parts = F.split(F.translate(F.coalesce(text, F.lit("")), UPPER, LOWER), NOT_WORD)
     return F.filter(parts, lambda w: w != "")
 
 
@@ -86,6 +89,14 @@ def _all(conditions: list[Column]) -> Column:
     return out
 
 
+def step_for(template: str) -> int:
+    """Distance of the blocks in which a template is looked for."""
+    step = STEP
+    while step < len(template.split()):
+        step *= 2
+    return step
+
+
 def _text_list(values: Column) -> Column:
     return F.array_join(F.array_sort(F.array_distinct(values)), ",")
 
@@ -102,13 +113,13 @@ def scan_licenses(
     words, places of phrases, the first and last of them, the phrases' labels, those with
     the templates' added, and the largest share of a template found (1 with a phrase).
 
-    Null and empty texts have no words and no labels. Every row gives a row; rows that
-    repeat an id share the labels of all of them, and so do rows with a null id. Other
-    columns are ignored. Each template needs a word.
+    Null and empty texts have no words and no labels. Every row gives a row, also with a null
+    or repeated id, and has the labels of its own text. Other columns are ignored. Each
+    template needs a word.
     """
     spark = docs.sparkSession
-    distinct = [(label, sorted(set(text.split()))) for label, text in templates]
-    vocabulary = sorted({w for _, ws in distinct for w in ws})
+    distinct = [(label, sorted(set(text.split())), step_for(text)) for label, text in templates]
+    vocabulary = sorted({w for _, ws, _ in distinct for w in ws})
     known = F.array(*[F.lit(w) for w in vocabulary]) if vocabulary else F.array().cast("array<string>")
     split = docs.select(F.col("doc_id").cast("long").alias("doc_id"), words(F.col("text")).alias("words"))
 
@@ -118,13 +129,14 @@ def scan_licenses(
     counted = {r.word: r.n for r in seen.groupBy("word").agg(F.count("*").alias("n")).collect()}
     rank = {w: i for i, w in enumerate(sorted(vocabulary, key=lambda w: (counted.get(w, 0), w)))}
     rows, prefixes = [], []
-    for number, (label, ws) in enumerate(distinct):
+    for number, (label, ws, step) in enumerate(distinct):
         order = sorted(rank[w] for w in ws)
         need = math.ceil(threshold * len(order) - 1e-9)
-        rows.append((number, label, order, need))
-        prefixes += [(number, r, i) for i, r in enumerate(order[: len(order) - need + 1])]
-    wanted = spark.createDataFrame(rows, "template int, label string, ranks array<int>, need int")
-    prefix = spark.createDataFrame(prefixes, "template int, rank int, t_at int")
+        rows.append((number, label, order, need, step))
+        prefixes += [(number, r, i, step) for i, r in enumerate(order[: len(order) - need + 1])]
+    wanted = spark.createDataFrame(rows, "template int, label string, ranks array<int>, need int, step int")
+    wanted = wanted.drop("step")
+    prefix = spark.createDataFrame(prefixes, "template int, rank int, t_at int, step int")
     # A document without any word of a prefix has no block to look at.
     by_rank = sorted(rank, key=rank.get)
     first_words = [F.lit(by_rank[r]) for r in sorted({p[1] for p in prefixes})]
@@ -134,18 +146,22 @@ def scan_licenses(
     else:
         hopeful, table = F.lit(False), F.create_map().cast("map<string,int>")
 
-    def block(i: Column) -> Column:
-        inside = F.array_intersect(F.slice("words", i + 1, BLOCK), known)
-        return F.struct(
-            i.alias("at"), F.array_sort(F.transform(inside, lambda w: F.element_at(table, w))).alias("ranks")
-        )
+    def blocks_of(step: int) -> Column:
+        def block(i: Column) -> Column:
+            inside = F.array_intersect(F.slice("words", i + 1, 2 * step), known)
+            ranks = F.array_sort(F.transform(inside, lambda w: F.element_at(table, w)))
+            return F.struct(F.lit(step).alias("step"), i.alias("at"), ranks.alias("ranks"))
+
+        starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(step))
+        least = min(r[3] for r in rows if r[4] == step)
+        return F.filter(F.transform(starts, block), lambda b: F.size(b["ranks"]) >= least)
 
-    starts = F.sequence(F.lit(0), F.greatest(F.size("words") - 1, F.lit(0)), F.lit(STEP))
-    least = min([r[3] for r in rows], default=1)
-    blocks = F.filter(F.transform(starts, block), lambda b: F.size(b["ranks"]) >= least)
-    empty = F.array().cast("array<struct<at: int, ranks: array<int>>>")
+    empty = F.array().cast("array<struct<step: int, at: int, ranks: array<int>>>")
+    blocks = F.concat(empty, *[blocks_of(step) for step in sorted({r[4] for r in rows})])
     places = [_places(F.col("words"), p).alias(f"p{i}") for i, (p, _) in enumerate(phrases)]
+    # Ids may be null or repeated: the rows get numbers of their own, which are written once.
     scanned = split.select(
+        F.monotonically_increasing_id().alias("row"),
         "doc_id",
         F.size("words").cast("long").alias("n_words"),
         *places,
@@ -153,10 +169,10 @@ def scan_licenses(
     )
     scanned = materialize(scanned, "scanned")
 
-    in_blocks = scanned.where(F.size("blocks") > 0).select("doc_id", F.explode("blocks").alias("b"))
-    in_blocks = in_blocks.select("doc_id", "b.at", F.col("b.ranks").alias("own")).distinct()
-    common = in_blocks.select("*", F.posexplode("own").alias("b_at", "rank")).join(prefix, "rank")
-    first = common.groupBy("doc_id", "at", "own", "template").agg(
+    in_blocks = scanned.where(F.size("blocks") > 0).select("row", F.explode("blocks").alias("b"))
+    in_blocks = in_blocks.select("row", "b.step", "b.at", F.col("b.ranks").alias("own"))
+    common = in_blocks.select("*", F.posexplode("own").alias("b_at", "rank")).join(prefix, ["rank", "step"])
+    first = common.groupBy("row", "at", "own", "template").agg(
         F.min(F.struct("t_at", "b_at")).alias("first")
     )
     left = F.least(
@@ -165,7 +181,7 @@ def scan_licenses(
     pairs = first.join(wanted, "template").where((F.size("own") >= F.col("need")) & (left >= F.col("need")))
     shared = F.size(F.array_intersect("own", "ranks"))
     found = pairs.withColumn("shared", shared).where("shared >= need")
-    by_doc = found.groupBy(F.col("doc_id").alias("__id")).agg(
+    by_row = found.groupBy("row").agg(
         F.collect_set("label").alias("more"), F.max(F.col("shared") / F.size("ranks")).alias("share")
     )
 
@@ -174,6 +190,7 @@ def scan_licenses(
         *[F.when(F.size(f"p{i}") > 0, F.lit(label)) for i, (_, label) in enumerate(phrases)]
     )
     base = scanned.select(
+        "row",
         "doc_id",
         "n_words",
         F.size(starts_of).cast("long").alias("n_base"),
@@ -181,7 +198,7 @@ def scan_licenses(
         F.array_max(starts_of).cast("long").alias("last_word"),
         F.filter(labels, lambda x: x.isNotNull()).alias("base"),
     )
-    joined = base.join(by_doc, F.col("doc_id").eqNullSafe(F.col("__id")), "left")
+    joined = base.join(by_row, "row", "left")
     more = F.coalesce("more", F.array().cast("array<string>"))
     return joined.select(
         "doc_id",

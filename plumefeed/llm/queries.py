@@ -20,6 +20,7 @@ from . import (
     token_counts,
     toxicity,
 )
+from .license_scan import LOWER, UPPER
 from .oracle import HARD_NEGATIVES_SQL, MERKLE_SQL, ngram_bands_sql
 from .textops import held_out
 
@@ -113,45 +114,41 @@ QUERIES = {
     "op13_merkle_manifest": op13_merkle_manifest,
 }
 
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
-
-
-def _license_sql() -> str:
-    """Every template against every block, without any filter."""
+def license_sql(templates=license_scan.TEMPLATES) -> str:
+    """Every template against every block of its size in the same row, without any filter."""
     phrases = ", ".join(f"('{p}', '{label}')" for p, label in license_scan.PHRASES)
-    templates = ", ".join(f"('{text}', '{label}')" for label, text in license_scan.TEMPLATES)
-    step, block = license_scan.STEP, license_scan.BLOCK
+    listed = ", ".join(f"('{text}', '{label}', {license_scan.step_for(text)})" for label, text in templates)
     return f"""
 WITH w AS (
-  SELECT doc_id, list_filter(string_split_regex(
+  SELECT row_number() OVER () AS k, doc_id, list_filter(string_split_regex(
     translate(coalesce(text, ''), '{UPPER}', '{LOWER}'), '[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+'),
     lambda x: x <> '') AS words FROM documents),
 phrases(phrase, label) AS (VALUES {phrases}),
-templates(words, label) AS (
-  SELECT list_distinct(string_split(t, ' ')), l FROM (VALUES {templates}) v(t, l)),
+templates(words, label, step) AS (
+  SELECT list_distinct(string_split(t, ' ')), l, s FROM (VALUES {listed}) v(t, l, s)),
 places AS (
-  SELECT doc_id, label, i - 1 AS pos
+  SELECT k, label, i - 1 AS pos
   FROM w, phrases, unnest(generate_series(1, len(w.words))) AS g(i)
   WHERE w.words[i : i + len(string_split(phrase, ' ')) - 1] = string_split(phrase, ' ')),
 base AS (
-  SELECT doc_id, count(*) AS n, min(pos) AS lo, max(pos) AS hi,
-         list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY doc_id),
+  SELECT k, count(*) AS n, min(pos) AS lo, max(pos) AS hi,
+         list_sort(list_distinct(list(label))) AS labels FROM places GROUP BY k),
 blocks AS (
-  SELECT doc_id, list_distinct(words[i + 1 : i + {block}]) AS own
-  FROM w, unnest(generate_series(0, greatest(len(words) - 1, 0), {step})) AS g(i)),
+  SELECT k, step, list_distinct(words[i + 1 : i + 2 * step]) AS own
+  FROM w, (SELECT DISTINCT step FROM templates), unnest(generate_series(0, greatest(len(words) - 1, 0), step)) AS g(i)),
 shares AS (
-  SELECT doc_id, label, len(list_intersect(own, t.words)) / len(t.words) AS share
-  FROM blocks, templates t),
+  SELECT k, label, len(list_intersect(own, t.words)) / len(t.words) AS share
+  FROM blocks JOIN templates t USING (step)),
 found AS (
-  SELECT doc_id, list(label) AS labels, max(share) AS share FROM shares
-  WHERE share >= 0.8 - 1e-9 GROUP BY doc_id)
+  SELECT k, list(label) AS labels, max(share) AS share FROM shares
+  WHERE share >= 0.8 - 1e-9 GROUP BY k)
 SELECT w.doc_id, CAST(len(w.words) AS BIGINT) AS n_words, coalesce(base.n, 0) AS n_base,
   CAST(base.lo AS BIGINT) AS first_word, CAST(base.hi AS BIGINT) AS last_word,
   coalesce(array_to_string(base.labels, ','), '') AS base_labels,
   coalesce(array_to_string(list_sort(list_distinct(list_concat(
     coalesce(base.labels, []), coalesce(found.labels, [])))), ','), '') AS labels,
   CASE WHEN base.n > 0 THEN 1.0 ELSE coalesce(found.share, 0.0) END::DOUBLE AS score
-FROM w LEFT JOIN base USING (doc_id) LEFT JOIN found USING (doc_id)
+FROM w LEFT JOIN base USING (k) LEFT JOIN found USING (k)
 """
 
 
@@ -200,7 +197,7 @@ FROM sets s LEFT JOIN least l USING (doc_id)
 """
 
 ORACLE: dict[str, str] = {
-    "op4_license_scan": _license_sql(),
+    "op4_license_scan": license_sql(),
     "op7_knn_join": KNN_SQL,
     "op9_near_duplicates": NEAR_DUPLICATES_SQL,
     "op11_ngram_bands": ngram_bands_sql(),

@@ -3,12 +3,15 @@
 import random
 import re
 
+import duckdb
+
 from plumefeed.llm import license_scan as ls
+from plumefeed.llm.queries import license_sql
 
 
 def brute(text, templates, phrases, threshold):
     """Every template against every block, every phrase at every place."""
-    words = re.findall("[0-9a-z\x80-\U0010ffff]+", (text or "").lower())
+    words = re.findall("[0-9a-z\x80-\U0010ffff]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
     places = [
         (i, label)
         for p, label in phrases
@@ -16,9 +19,10 @@ def brute(text, templates, phrases, threshold):
         if words[i : i + len(p.split())] == p.split()
     ]
     best, labels = 0.0, {label for _, label in places}
-    for start in range(0, max(1, len(words)), ls.STEP):
-        block = set(words[start : start + ls.BLOCK])
-        for label, template in templates:
+    for label, template in templates:
+        step = ls.step_for(template)
+        for start in range(0, max(1, len(words)), step):
+            block = set(words[start : start + 2 * step])
             share = len(block & set(template.split())) / len(set(template.split()))
             if share >= threshold - 1e-9:
                 labels.add(label)
@@ -66,3 +70,35 @@ def test_odd_rows(odd, odd_rows, nothing, documents):
     assert {r.labels for r in plain.collect()} == {""}
     one = ls.scan_licenses(documents([(1, "CC BY-NC CC by nc", "en")])).first()
     assert (one.n_base, one.first_word, one.last_word, one.labels) == (2, 0, 3, "cc-by-nc")
+
+
+def test_null_and_repeated_ids_and_long_templates_equal_sql(documents):
+    """Each row has the labels of its own text; a template of any length is found whole."""
+    mit = dict(ls.TEMPLATES)["mit"]
+    long = " ".join(f"term{i}" for i in range(120))
+    sixty = " ".join(f"word{i}" for i in range(60))
+    templates = (*ls.TEMPLATES, ("long", long), ("sixty", sixty))
+    filler = " ".join(f"f{i}" for i in range(16))
+    rows = [
+        (None, mit, "en"),
+        (None, "nothing here at all", "en"),
+        (7, "plain words", "en"),
+        (7, f"{mit} under the MIT license", "en"),
+        (8, long, "en"),
+        (9, f"{filler} {sixty} {filler}", "en"),
+        (10, f"{filler * 5} {long} and more", "en"),
+        (11, " ".join(long.split()[:90]), "en"),
+        (12, "term0 " * 200, "en"),
+        (13, "\u212apache license version 2", "en"),
+        (14, "APACHE License, Version 2", "en"),
+    ]
+    docs = documents(rows)
+    got = sorted((tuple(r) for r in ls.scan_licenses(docs, templates).collect()), key=repr)
+    db = duckdb.connect()
+    db.register("documents", docs.select("doc_id", "text").toArrow())
+    columns = "doc_id, n_words, n_base, first_word, last_word, base_labels, labels, score"
+    expected = db.execute(f"SELECT {columns} FROM ({license_sql(templates)})").fetchall()
+    assert got == sorted(expected, key=repr)
+    labels = [(r[0], r[6], r[7]) for r in got]
+    assert {(None, "mit", 1.0), (None, "", 0.0), (7, "", 0.0), (8, "long", 1.0), (9, "sixty", 1.0)} <= set(labels)
+    assert {(10, "long", 1.0), (11, "", 0.0), (12, "", 0.0), (13, "", 0.0), (14, "apache-2", 1.0)} <= set(labels)
