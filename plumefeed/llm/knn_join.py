@@ -1,9 +1,12 @@
 """Exact top-k by inner product as a Voronoi join.
 
-Queries and data are seen from pivots. A first pass over the data summarises, for every
-group of queries, how good its k-th score must be at least; a second one copies to a group
-only the vectors whose upper bound reaches that. Each group is then solved by itself, in
-even shares, and the shares are merged.
+Queries form groups around pivots, data form cells around pivots of their own. Summaries say
+everything about groups and cells that the bounds need: of a group how many queries it has
+and how far they reach, of a cell how many vectors it has, how far they reach, and the
+smallest distances to its pivot. From these follows, for every group, how good its k-th
+score is at least, and which cells can reach that. Only vectors of those cells are copied to
+a group, and of them only those whose own bound reaches it. Groups are then solved by
+themselves, in even shares, and the shares are merged.
 """
 
 from __future__ import annotations
@@ -17,76 +20,64 @@ from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
 from ..config import materialize
+from .vectors import first_copies, matrix, products, scaled, width_of
 
 SCALE = 1024
-# Queries of one group and data of one share of a group, about.
-GROUP_QUERIES, SHARE_ROWS = 512, 20_000
-MAX_PIVOTS = 256
-# Products below this are exact in double precision.
-EXACT = float(1 << 52)
+# Queries of one group, rows of one cell and of one share of it, queries that meet a share.
+GROUP_QUERIES, CELL_ROWS, SHARE_ROWS, CHUNK_QUERIES = 128, 2_048, 16_384, 8_192
+# Pivots are sent to every task: at most so many, of so many bytes.
+MAX_PIVOTS, PIVOT_BYTES = 1_024, 1 << 20
 
 
-def scaled(table: DataFrame, scale: int = SCALE) -> DataFrame:
-    """``vec_id`` and the components ``floor(scale * x)`` as packed 32-bit integers.
+def _pivots(table: DataFrame, rows: int, wanted: int, width: int) -> np.ndarray:
+    """Some vectors of a table, picked by a hash of their id."""
+    n = max(1, min(wanted, MAX_PIVOTS, PIVOT_BYTES // (8 * width)))
+    spot = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
+    some = table.where(spot <= min(1.0, 4.0 * n / rows) + 1e-3)
+    found = some.select("vector").orderBy(F.xxhash64("vec_id", F.lit(5))).limit(n).toArrow()
+    if not len(found):
+        found = table.select("vector").limit(1).toArrow()
+    return matrix(found.column("vector"), width)
 
-    Vectors that are null, empty or hold null or non-finite components are left out, and so
-    are rows with a null id. Components that do not fit 32 bits are an error.
-    """
+
+def _placed(table: DataFrame, pivots: np.ndarray) -> DataFrame:
+    """Each vector with its nearest pivot, ``cell``, and the distance to it, ``far``."""
+    width, own = pivots.shape[1], (pivots**2).sum(axis=1)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, out = [], []
-            column = batch.column("embedding")
-            for i, vec_id in enumerate(batch.column("vec_id").to_pylist()):
-                if vec_id is None or not column[i].is_valid or column[i].values.null_count:
-                    continue
-                x = column[i].values.to_numpy(zero_copy_only=False).astype(np.float64)
-                if not len(x) or not np.isfinite(x).all():
-                    continue
-                x = np.floor(x * scale)
-                if np.abs(x).max() >= 2**31:
-                    raise ValueError(f"vector {vec_id}: a component does not fit 32 bits")
-                ids.append(vec_id)
-                out.append(x.astype("<i4").tobytes())
+            x = matrix(batch.column("vector"), width)
+            with np.errstate(over="ignore", invalid="ignore"):
+                cell = np.nan_to_num(own - 2 * x @ pivots.T, nan=np.inf).argmin(axis=1)
+                far = np.sqrt(((x - pivots[cell]) ** 2).sum(axis=1))
+            # A little more than measured, against rounding.
+            far = far * (1 + 1e-9) + 1e-6
             yield pa.RecordBatch.from_arrays(
-                [pa.array(ids, pa.int64()), pa.array(out, pa.binary())], names=["vec_id", "vector"]
+                [*batch.columns, pa.array(cell, pa.int32()), pa.array(far)],
+                names=["vec_id", "vector", "cell", "far"],
             )
 
-    source = table.select(F.col("vec_id").cast("long"), F.col("embedding").cast("array<double>"))
-    return source.mapInArrow(run, "vec_id long, vector binary")
-
-
-def _matrix(column: pa.Array, width: int) -> np.ndarray:
-    """Unpacked vectors as doubles; shorter ones are filled up with zeros."""
-    raw = [np.frombuffer(v, "<i4") for v in column.to_pylist()]
-    if raw and all(len(r) == width for r in raw):
-        return np.stack(raw).astype(np.float64)
-    out = np.zeros((len(raw), width))
-    for row, r in zip(out, raw):
-        row[: len(r)] = r
-    return out
-
+    out = table.select("vec_id", "vector").mapInArrow(run, "vec_id long, vector binary, cell int, far double")
+    return materialize(out, "placed")
 
-def _products(a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """Exact inner products of integers held as doubles."""
-    size = np.abs(a).max(initial=0) * np.abs(b).max(initial=0) * a.shape[1]
-    if size < EXACT:
-        return (a @ b.T).astype(np.int64)
-    return a.astype(np.int64) @ b.astype(np.int64).T
 
+def _nearest(placed: DataFrame, k: int) -> DataFrame:
+    """The ``k`` smallest distances of each cell; tasks pass on no more than that."""
 
-def _first_copies(data: DataFrame, keep: int) -> DataFrame:
-    """The ``keep`` smallest ids of each distinct vector; more can never be among the best.
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        cells, fars = np.empty(0, np.int32), np.empty(0)
+        for batch in batches:
+            cells = np.concatenate([cells, batch.column("cell").to_numpy()])
+            fars = np.concatenate([fars, batch.column("far").to_numpy()])
+            order = np.lexsort((fars, cells))
+            cells, fars = cells[order], fars[order]
+            few = np.arange(len(cells)) - np.searchsorted(cells, cells) < k
+            cells, fars = cells[few], fars[few]
+        yield pa.RecordBatch.from_arrays([pa.array(cells, pa.int32()), pa.array(fars)], names=["cell", "far"])
 
-    Salted, so that a vector with a third of all rows is cut in many tasks first.
-    """
-    salt = F.pmod(F.xxhash64("vec_id"), F.lit(64)).alias("salt")
-    print_ = F.xxhash64("vector").alias("print")
-    some = W.partitionBy("print", "vector", "salt").orderBy("vec_id")
-    few = data.select("*", salt, print_).withColumn("n", F.row_number().over(some)).where(F.col("n") <= keep)
-    all_ = W.partitionBy("print", "vector").orderBy("vec_id")
-    few = few.withColumn("n", F.row_number().over(all_)).where(F.col("n") <= keep)
-    return few.select("vec_id", "vector")
+    some = placed.select("cell", "far").mapInArrow(run, "cell int, far double")
+    number = F.row_number().over(W.partitionBy("cell").orderBy("far"))
+    return some.withColumn("n", number).where(F.col("n") <= k).select("cell", "far")
 
 
 def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
@@ -96,7 +87,45 @@ def _top(scores: np.ndarray, ids: np.ndarray, k: int) -> np.ndarray:
         near = np.flatnonzero(scores >= cut)
     else:
         near = np.arange(len(scores))
-    return near[np.lexsort((ids[near], -scores[near]))][:k]
+    # From the smallest id up, the best last: negating a score could overflow.
+    return near[np.lexsort((-ids[near], scores[near]))][::-1][:k]
+
+
+class Bounds:
+    """What the summaries of groups and cells say about their inner products."""
+
+    def __init__(self, centre: np.ndarray, reach: np.ndarray, pivots: np.ndarray, radius: np.ndarray):
+        self.centre, self.reach = centre, reach
+        with np.errstate(over="ignore", invalid="ignore"):
+            self.size = np.sqrt((centre**2).sum(axis=1)) + reach
+            self.middle = centre @ pivots.T
+            self.slack = reach[:, None] * np.sqrt((pivots**2).sum(axis=1))
+            self.most = self._above(self.middle + self.slack + self.size[:, None] * radius)
+        self.least = np.full(len(centre), -np.inf)
+
+    @staticmethod
+    def _above(bound: np.ndarray) -> np.ndarray:
+        return np.nan_to_num(bound + 1e-9 * np.abs(bound) + 1e-3, nan=np.inf, posinf=np.inf)
+
+    def learn(self, cells: np.ndarray, distances: np.ndarray, k: int) -> None:
+        """Least k-th score of every group, from vectors at known distances to their pivots."""
+        if len(cells) < k:
+            return
+        for i in range(len(self.centre)):
+            with np.errstate(over="ignore", invalid="ignore"):
+                low = self.middle[i, cells] - self.slack[i, cells] - self.size[i] * distances
+                low = np.nan_to_num(low - 1e-9 * np.abs(low) - 1e-3, nan=-np.inf)
+            self.least[i] = np.partition(low, len(low) - k)[len(low) - k]
+
+    def needed(self) -> np.ndarray:
+        """Whether a group has to see a cell."""
+        return self.most >= self.least[:, None]
+
+    def rows(self, x: np.ndarray) -> np.ndarray:
+        """Whether a group has to see a vector, by the vector's own bound."""
+        with np.errstate(over="ignore", invalid="ignore"):
+            bound = x @ self.centre.T + np.sqrt((x**2).sum(axis=1))[:, None] * self.reach
+        return self._above(bound) >= self.least
 
 
 def knn_join(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
@@ -105,117 +134,119 @@ def knn_join(table: DataFrame, is_query: Column, k: int = 10) -> DataFrame:
     Returns ``query_id, rank, vec_id, score``; ties go to the smaller ``vec_id``. ``is_query``
     is a condition on ``vec_id``. Vectors of different lengths meet as if filled up with
     zeros. Rows that repeat an id with the same vector count once; of different vectors
-    under one id the smallest counts. See ``scaled`` for rows that take no part; other
-    columns are ignored. No query, or nothing but one row, gives an empty result.
+    under one id the smallest counts. Scores are exact; one beyond a long is the closest long
+    and ties with others there. See ``scaled`` for rows that take no part; other columns are
+    ignored. No query, or nothing but one row, gives an empty result.
 
     The bounds hold for any data; how much they save depends on how well it clusters.
     """
     spark = table.sparkSession
-    data = scaled(table).groupBy("vec_id").agg(F.min("vector").alias("vector"))
+    data = scaled(table, SCALE).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     data = materialize(data, "vectors")
     queries = materialize(data.where(is_query), "queries")
-    rows, longest = data.agg(F.count("*"), F.max(F.octet_length("vector"))).first()
-    n_queries = queries.count()
+    rows, n_queries, width = data.count(), queries.count(), width_of(data)
     schema = "query_id long, rank int, vec_id long, score long"
     if not n_queries or rows < 2:
         return spark.createDataFrame([], schema)
-    width = longest // 4
-    few = materialize(_first_copies(data, k + 1), "first-copies")
-
-    # Pivots: queries picked by a hash of their id, far fewer than there are.
-    n_pivots = int(min(MAX_PIVOTS, max(1, n_queries // 32)))
-    share = min(1.0, 4.0 * n_pivots / n_queries)
-    spot = F.pmod(F.xxhash64("vec_id", F.lit(3)), F.lit(1 << 30)) / float(1 << 30)
-    picked = queries.where(spot <= share).orderBy(F.xxhash64("vec_id", F.lit(5))).limit(n_pivots)
-    found = [r.vector for r in picked.collect()] or [queries.first().vector]
-    pivots = _matrix(pa.array([bytes(v) for v in found], pa.binary()), width)
+    few = materialize(first_copies(data, k + 1), "first-copies")
+
+    centre = _pivots(queries, n_queries, -(-n_queries // GROUP_QUERIES), width)
+    groups = _placed(queries, centre)
+    pivots = _pivots(few, rows, -(-rows // CELL_ROWS), width)
+    cells = _placed(few, pivots)
+    # Summaries: a row for each group and each cell, and k + 1 distances of each cell.
+    reach, chunks = np.full(len(centre), -np.inf), np.ones(len(centre), np.int64)
+    for r in groups.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
+        reach[r.cell], chunks[r.cell] = r.far, -(-r.n // CHUNK_QUERIES)
+    live = np.flatnonzero(reach >= 0)
+    radius, shares = np.full(len(pivots), -np.inf), np.ones(len(pivots), np.int64)
+    for r in cells.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("far")).collect():
+        radius[r.cell], shares[r.cell] = r.far, -(-r.n // SHARE_ROWS)
+    bounds = Bounds(centre[live], reach[live], pivots, radius)
+    near = _nearest(cells, k + 1).toArrow()
+    # The query itself may be among the k + 1 best, so k others are at least as good.
+    bounds.learn(near.column("cell").to_numpy(), near.column("far").to_numpy(), k + 1)
+    needed = bounds.needed()
+    # Small cells share a bin, large ones have several: a bin is what meets a group at a time.
+    counts = np.where(radius >= 0, shares, 0)
+    bins, first = _bins(cells, counts)
 
-    def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Vectors with each group (and chunk of it) that has to see them."""
         for batch in batches:
-            x = _matrix(batch.column("vector"), width)
-            far = np.sqrt(np.maximum((x**2).sum(1)[:, None] + (pivots**2).sum(1) - 2 * x @ pivots.T, 0))
-            cell = far.argmin(axis=1)
+            cell = batch.column("cell").to_numpy()
+            sees = needed[:, cell].T & bounds.rows(matrix(batch.column("vector"), width))
+            row, group = np.nonzero(sees)
+            times = chunks[live[group]]
+            row, group = np.repeat(row, times), np.repeat(group, times)
+            chunk = np.arange(len(row)) - np.repeat(np.cumsum(times) - times, times)
+            ids = batch.column("vec_id").to_numpy()[row].astype(np.uint64)
+            spread = (ids * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(33)
+            own = first[cell[row]] + (spread % shares[cell[row]].astype(np.uint64)).astype(np.int64)
+            part = batch.select(["vec_id", "vector"]).take(pa.array(row))
             yield pa.RecordBatch.from_arrays(
-                [*batch.columns, pa.array(cell, pa.int32()), pa.array(far[np.arange(len(x)), cell])],
-                names=["vec_id", "vector", "cell", "far"],
+                [*part.columns, *(pa.array(c, pa.int32()) for c in (live[group], chunk, own))],
+                names=["vec_id", "vector", "group", "chunk", "bin"],
             )
 
-    placed = queries.mapInArrow(place, "vec_id long, vector binary, cell int, far double")
-    placed = materialize(placed, "placed")
-    cells = placed.groupBy("cell").agg(F.count("*").alias("n"), F.max("far").alias("reach")).collect()
-    chunks = {r.cell: -(-r.n // GROUP_QUERIES) for r in cells}
-    reach = np.full(len(pivots), -1.0)
-    for r in cells:
-        # A little more than measured, against rounding.
-        reach[r.cell] = r.reach * (1 + 1e-9) + 1e-6
-    live = np.flatnonzero(reach >= 0)
-    centre, reach = pivots[live], reach[live]
-
-    def bounds(x: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Least and largest inner product of each vector with any query of each group."""
-        middle = x @ centre.T
-        slack = np.sqrt((x**2).sum(1))[:, None] * reach
-        slop = 1e-9 * (np.abs(middle) + slack) + 1e-3
-        return middle - slack - slop, middle + slack + slop
+    key = ["group", "chunk", "bin"]
+    kinds = "vec_id long, vector binary, group int, chunk int, bin int"
+    # A group is sent to the bins that hold a cell it needs, and to no other.
+    meets: list[list[int]] = [[] for _ in centre]
+    for i, group in enumerate(live.tolist()):
+        meets[group] = sorted({b for j in np.flatnonzero(needed[i] & (counts > 0)) for b in bins[j]})
 
-    def summarise(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        best = np.empty((0, len(live)))
+    def asked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            low, _ = bounds(_matrix(batch.column("vector"), width))
-            best = np.sort(np.concatenate([best, low]), axis=0)[-(k + 1) :]
-        groups = np.tile(np.arange(len(live)), len(best))
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(groups, pa.int32()), pa.array(best.ravel())], names=["place", "low"]
-        )
-
-    # The query itself may be among the k + 1 best, so k others are at least as good.
-    down = W.partitionBy("place").orderBy(F.desc("low"))
-    lows = few.select("vector").mapInArrow(summarise, "place int, low double")
-    lows = lows.withColumn("n", F.row_number().over(down)).where(F.col("n") == k + 1).collect()
-    least = np.full(len(live), -np.inf)
-    for r in lows:
-        least[r.place] = r.low
-
-    shares = max(1, -(-rows // SHARE_ROWS))
-
-    def copies(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            _, high = bounds(_matrix(batch.column("vector"), width))
-            row, place_ = np.nonzero(high >= least)
-            part = batch.take(pa.array(row))
+            group = batch.column("cell").to_numpy()
+            ids = batch.column("vec_id").to_numpy().astype(np.uint64)
+            chunk = (ids * np.uint64(0xD1342543DE82EF95)) >> np.uint64(33)
+            chunk = (chunk % chunks[group].astype(np.uint64)).astype(np.int64)
+            times = np.array([len(meets[g]) for g in group.tolist()], np.int64)
+            row = np.repeat(np.arange(len(group)), times)
+            part = batch.select(["vec_id", "vector"]).take(pa.array(row))
+            to = [b for g in group.tolist() for b in meets[g]]
             yield pa.RecordBatch.from_arrays(
-                [*part.columns, pa.array(live[place_], pa.int32())], names=["vec_id", "vector", "cell"]
+                [*part.columns, *(pa.array(c, pa.int32()) for c in (group[row], chunk[row], to))],
+                names=["vec_id", "vector", *key],
             )
 
-    needed = few.mapInArrow(copies, "vec_id long, vector binary, cell int")
-    split = F.array(*[F.lit(chunks.get(c, 0)) for c in range(len(pivots))])
-    needed = needed.withColumn("share", F.pmod(F.xxhash64("vec_id"), F.lit(shares)).cast("int"))
-    needed = needed.withColumn("chunk", F.explode(F.sequence(F.lit(0), F.get(split, F.col("cell")) - 1)))
-    asked = placed.withColumn(
-        "chunk", F.pmod(F.xxhash64("vec_id", F.lit(9)), F.get(split, F.col("cell"))).cast("int")
-    ).withColumn("share", F.explode(F.sequence(F.lit(0), F.lit(shares - 1))))
-    key = ["cell", "chunk", "share"]
-
     def solve(left: pa.Table, right: pa.Table) -> pa.Table:
-        x = _matrix(left.column("vector").combine_chunks(), width)
-        ids = left.column("vec_id").to_numpy()
+        x, ids = matrix(left.column("vector"), width), left.column("vec_id").to_numpy()
+        q, own = matrix(right.column("vector"), width), right.column("vec_id").to_numpy()
         out = [np.empty((0, 3), np.int64)]
-        asked_ids = right.column("vec_id").to_numpy()
-        q = _matrix(right.column("vector").combine_chunks(), width)
         for a in range(0, len(q) if len(x) else 0, 64):
-            products = _products(q[a : a + 64], x)
-            for own, line in zip(asked_ids[a : a + 64], products):
-                other = np.flatnonzero(ids != own)
+            for i, line in zip(own[a : a + 64], products(q[a : a + 64], x)):
+                other = np.flatnonzero(ids != i)
                 best = other[_top(line[other], ids[other], k)]
-                out.append(np.stack([np.full(len(best), own), ids[best], line[best]], axis=1))
+                out.append(np.stack([np.full(len(best), i), ids[best], line[best]], axis=1))
         flat = np.concatenate(out)
         return pa.table({c: pa.array(flat[:, i]) for i, c in enumerate(("query_id", "vec_id", "score"))})
 
     parts = (
-        needed.groupBy(*key)
-        .cogroup(asked.select("vec_id", "vector", *key).groupBy(*key))
+        cells.mapInArrow(copies, kinds)
+        .groupBy(*key)
+        .cogroup(groups.mapInArrow(asked, kinds).groupBy(*key))
         .applyInArrow(solve, "query_id long, vec_id long, score long")
     )
     order = W.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
     ranked = parts.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
     return ranked.select("query_id", "rank", "vec_id", "score")
+
+
+def _bins(cells: DataFrame, shares: np.ndarray) -> tuple[list[list[int]], np.ndarray]:
+    """The bins of each cell: shares of its own if it is large, or one that others are in."""
+    sizes = {r.cell: r.n for r in cells.groupBy("cell").agg(F.count("*").alias("n")).collect()}
+    bins: list[list[int]] = [[] for _ in shares]
+    first, last, used = np.zeros(len(shares), np.int64), -1, SHARE_ROWS
+    for j, n in enumerate(shares.tolist()):
+        if n > 1:
+            first[j], last = last + 1, last + n
+            used = SHARE_ROWS
+        elif n:
+            if used + sizes[j] > SHARE_ROWS:
+                last, used = last + 1, 0
+            used += sizes[j]
+            first[j] = last
+        bins[j] = list(range(first[j], first[j] + n))
+    return bins, first

@@ -33,6 +33,8 @@ def test_equals_all_pairs(spark, monkeypatch, spread):
     """Tight clusters and none; a third of all rows is one vector; small groups and shares."""
     monkeypatch.setattr(kj, "GROUP_QUERIES", 20)
     monkeypatch.setattr(kj, "SHARE_ROWS", 100)
+    monkeypatch.setattr(kj, "CELL_ROWS", 30)
+    monkeypatch.setattr(kj, "CHUNK_QUERIES", 7)
     rng = np.random.default_rng(3)
     centres = rng.normal(0, 1, (6, 8))
     vectors = [centres[i % 6] + rng.normal(0, spread, 8) for i in range(600)]
@@ -47,8 +49,47 @@ def test_large_values_are_exact(spark):
     vectors = [[1_000_000.0, 3.0], [2_000_000.0, 1.0], [1_999_999.875, 7.0], [-5.0, 2.0]]
     got = found(kj.knn_join(table(spark, vectors), F.col("vec_id") == 0, k=3))
     assert got == brute(vectors, [0], 3)
-    with pytest.raises(Exception, match="32 bits"):
-        kj.knn_join(table(spark, [[1e9], [1.0]]), F.col("vec_id") == 0)
+
+
+def test_values_beyond_32_bits_and_beyond_a_long(spark):
+    """Odd rows cost nothing but themselves; a score that no long holds is the closest long."""
+    largest = (1 << 63) - 1
+    big = [[float(2**20)] * 64, [float(2**20)] * 64, [1.0] * 64, [-float(2**20)] * 64]
+    got = found(kj.knn_join(table(spark, big), F.col("vec_id") == 0, k=3))
+    assert got == {(0, 1, 1, largest), (0, 2, 2, 64 * 2**40), (0, 3, 3, -largest - 1)}
+    wide = [[float(2**21), 1.0], [1.0, 0.0], [0.5, 2.0], [float(2**21), 3.0], [2.0**100, 0.0]]
+    got = found(kj.knn_join(table(spark, wide), F.col("vec_id") < 2, k=4))
+    exact = [[int(c * 1024) for c in v] for v in wide]
+    expected = set()
+    for q in (0, 1):
+        dot = lambda i: min(largest, sum(a * b for a, b in zip(exact[q], exact[i])))  # noqa: E731, B023
+        best = sorted((i for i in range(5) if i != q), key=lambda i: (-dot(i), i))
+        expected |= {(q, r + 1, i, dot(i)) for r, i in enumerate(best)}
+    assert got == expected
+
+
+def test_groups_skip_cells_of_clustered_data(spark, monkeypatch):
+    """Bounds from summaries leave out most cells, and copies of rows that cannot matter."""
+    monkeypatch.setattr(kj, "GROUP_QUERIES", 12)
+    monkeypatch.setattr(kj, "CELL_ROWS", 25)
+    monkeypatch.setattr(kj, "SHARE_ROWS", 60)
+    seen, learn = [], kj.Bounds.learn
+
+    def watch(self, *args):
+        learn(self, *args)
+        seen.append(self)
+
+    monkeypatch.setattr(kj.Bounds, "learn", watch)
+    rng = np.random.default_rng(5)
+    centres = np.eye(12) * 10
+    vectors = [(centres[i % 12] + rng.normal(0, 0.02, 12)).tolist() for i in range(720)]
+    vectors = [[float(np.float32(c)) for c in v] for v in vectors]
+    got = found(kj.knn_join(table(spark, vectors), F.col("vec_id") % 6 == 0, k=5))
+    assert got == brute(vectors, range(0, 720, 6), 5)
+    needed = seen[0].needed()
+    assert needed.any(axis=1).all() and needed.mean() < 0.4
+    x = np.floor(np.array(vectors) * 1024)
+    assert seen[0].rows(x).mean() < 0.4
 
 
 def test_odd_rows(spark):
