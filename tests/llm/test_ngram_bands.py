@@ -1,0 +1,184 @@
+"""Counts and perplexities against plain Python and SQL, blocks and shards, odd rows."""
+
+import math
+import random
+import re
+import zlib
+from collections import Counter, defaultdict
+
+import duckdb
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from plumefeed.llm import ngram_bands as nb
+from plumefeed.llm.oracle import ngram_bands_sql
+
+
+def plain_facts(text):
+    text = text or ""
+    words = [w for w in re.split("[\x20\x09-\x0d]+", text) if w]
+    lines, again = set(), 0
+    for line in text.split("\n"):
+        if re.search("[^\x20\x09-\x0d]", line):
+            again += line in lines
+            lines.add(line)
+    windows = defaultdict(list)
+    for i in range(len(words) - 7):
+        windows[tuple(words[i : i + 8])].append(i)
+    marked = {j for at in windows.values() if len(at) > 1 for i in at for j in range(i, i + 8)}
+    symbols = sum(c in "#*$%&|<>" for c in text)
+    n = len(words)
+    letter = lambda c: c.isascii() and c.isalpha() or ord(c) >= 0x80
+    prose = (
+        n >= 20
+        and 100 * len(marked) <= 30 * n
+        and 10 * symbols <= n
+        and 10 * sum(any(map(letter, w)) for w in words) >= 8 * n
+        and 10 * len(re.findall("[A-Z]", text)) <= 3 * sum(map(letter, text))
+    )
+    return (n, sum(map(len, words)), symbols, again, len(marked)), prose
+
+
+def plain_millibits(learned, texts, order=nb.ORDER):
+    """Interpolated modified Kneser-Ney over characters, by dictionaries."""
+    pad = ("",) * (order - 1)
+    grams = lambda t: [(*pad, *t)[i : i + order] for i in range(len(t))]
+    counts = {order: Counter(g for t in learned for g in grams(t))}
+    for k in range(order - 1, 0, -1):
+        counts[k] = Counter(g[1:] for g in counts[k + 1])
+    pulls, total, kinds = {}, {}, {}
+    for k, table in counts.items():
+        n = Counter(table.values())
+        share = n[1] / (n[1] + 2 * n[2]) if n[1] and n[2] else 0.5
+        pulls[k] = [
+            min(max(i - (i + 1) * share * n[i + 1] / n[i], 0.1), i) if n[i] and n[i + 1] else 0.5 * i
+            for i in (1, 2, 3)
+        ]
+        total[k], kinds[k] = Counter(), defaultdict(lambda: [0, 0, 0])
+        for g, c in table.items():
+            total[k][g[:-1]] += c
+            kinds[k][g[:-1]][min(c, 3) - 1] += 1
+    whole = lambda p: round(math.log2(p) * nb.UNIT)
+    rest = {k: {h: sum(a * b for a, b in zip(v, pulls[k])) / total[k][h] for h, v in of.items()} for k, of in kinds.items()}
+    p = {(): 1 / (len(counts[1]) + 1)}
+    for k in range(1, order + 1):
+        for g, c in counts[k].items():
+            p[g] = (c - pulls[k][min(c, 3) - 1]) / total[k][g[:-1]] + rest[k][g[:-1]] * p[g[1:]]
+
+    def worth(g):
+        if g in p:
+            return whole(p[g])
+        k, h = len(g), g[:-1]
+        return worth(g[1:]) + (whole(rest[k][h]) if h in rest[k] else 0)
+
+    return {i: (-sum(map(worth, grams(t))) * 1000 // (len(t) * nb.UNIT) if t else None) for i, t in texts.items()}
+
+
+def corpus(n=70):
+    rng = random.Random(11)
+    words = ["".join(rng.choice("aeioulnrst") for _ in range(rng.randrange(2, 7))) for _ in range(90)]
+    texts = {i: " ".join(rng.choice(words) for _ in range(rng.randrange(18, 80))) + " é漢😀"[: rng.randrange(4)] for i in range(n)}
+    line = "the same line of a few words comes again"
+    texts |= {
+        200: "\n".join([line] * 6),
+        201: f"{line}\n{texts[0]}\n{line}\n \n \n{line} ",
+        202: " | ".join(words[:40]),
+        203: " ".join(w.upper() + "!!" for w in words[:40]),
+        204: " ".join("".join(rng.choice("xyzqwkvj") for _ in range(7)) for _ in range(50)),
+        205: "one two three four five six seven eight " * 2,
+        206: "a b c d e f g h i a b c d e f g h i j",
+        207: "",
+        208: None,
+        209: "x",
+        210: "A B a b A B a b A B a b A B",
+        211: "漢字 " * 30 + "\n漢字\n漢字\r\n漢字\r",
+    }
+    return texts
+
+
+def test_facts_equal_plain_python():
+    texts = list(corpus().values())
+    for size in (1, 7, len(texts)):
+        for a in range(0, len(texts), size):
+            part = texts[a : a + size]
+            found, prose = nb.facts_of(nb.as_text(pa.array(part, pa.string())))
+            for i, t in enumerate(part):
+                assert (tuple(int(found[c][i]) for c in nb.FACTS), bool(prose[i])) == plain_facts(t)
+
+
+@pytest.mark.parametrize("small", [False, True])
+def test_equals_plain_model(spark, documents, monkeypatch, small):
+    """Whole, and with tiny blocks, shards, parts and slices of what a task holds."""
+    if small:
+        for name, value in (("BLOCK_BYTES", 900), ("SHARD_ENTRIES", 300), ("PART_BLOCKS", 3), ("HELD_GRAMS", 200)):
+            monkeypatch.setattr(nb, name, value)
+    texts = corpus(40 if small else 70)
+    out = lambda i: zlib.crc32(str(i).encode()) % 5 == 0
+    learned = [t for i, t in texts.items() if t and plain_facts(t)[1] and not out(i)]
+    expected = plain_millibits(learned, {i: t or "" for i, t in texts.items()})
+    docs = documents([(i, t, "en") for i, t in texts.items()]).repartition(3)
+    got = {r.doc_id: r for r in nb.measure(docs).collect()}
+    assert got.keys() == expected.keys()
+    for i, t in texts.items():
+        assert (tuple(got[i][c] for c in nb.FACTS), got[i].prose) == plain_facts(t)
+        assert got[i].millibits == expected[i], i
+
+
+def test_bands_and_odd_rows_equal_sql(spark, documents, odd, odd_rows, nothing):
+    rng = random.Random(3)
+    texts = corpus(330)
+    rows = [(i, t, rng.choice(["en", "en", "de", None])) for i, t in texts.items()]
+    rows += [(i and i + 1000, t, lang) for i, t, lang in odd_rows if t is None or len(t) < 1000]
+    docs = documents(rows)
+    judged = nb.judge(docs, least=20)
+    columns = ["doc_id", *nb.FACTS, "base_failed", "kept"]
+    db = duckdb.connect()
+    db.register("documents", docs.select("doc_id", "text", "lang").toArrow())
+    sql = ngram_bands_sql().replace("n >= 50", "n >= 20")
+    expected = db.execute(f"SELECT {', '.join(columns)} FROM ({sql})").fetchall()
+    got = judged.collect()
+    assert sorted((tuple(r[c] for c in columns) for r in got), key=repr) == sorted(expected, key=repr)
+    by_id = {r.doc_id: r for r in got}
+    for i in (200, 202, 203, 204):
+        assert not by_id[i].kept
+    clean = [r.kept for r in got if r.doc_id is not None and r.doc_id < 200 and r.n_words >= 20]
+    assert sum(clean) >= 0.97 * len(clean)
+
+    whole = nb.judge(odd).collect()
+    assert len(whole) == len(odd_rows)
+    # The long text repeats itself; it is looked at whole.
+    assert [(r.n_words, r.base_failed) for r in whole if r.doc_id == 5] == [(60_000, True)]
+    assert nb.judge(nothing).collect() == []
+
+
+def test_blocks_do_not_depend_on_batches():
+    texts = [f"text {i} " * (i % 50) for i in range(300)] + [None, "y" * 5000, ""]
+    table = pa.table({"doc_id": pa.array(range(len(texts))), "text": texts})
+    cuts = []
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(nb, "BLOCK_BYTES", 2000)
+        for size in (1, 17, 1000):
+            cuts.append(
+                [
+                    (block, [i for p in parts for i in p.column("doc_id").to_pylist()])
+                    for block, parts in nb._blocks(iter(table.to_batches(max_chunksize=size)))
+                ]
+            )
+    assert cuts[0] == cuts[1] == cuts[2] and len(cuts[0]) > 10
+    assert [i for _, ids in cuts[0] for i in ids] == list(range(len(texts)))
+
+
+def test_tails_and_heads():
+    text = pa.array(["abcdefg", "漢😀z"], pa.large_string())
+    far, gram, _ = nb._grams(text)
+    chars = [0, 0, 0, 0, *(ord(c) + 1 for c in "abcdefg")]
+    for i in range(7):
+        for k in range(1, nb.ORDER + 1):
+            own = chars[i + 5 - k : i + 5]
+            packed = sum(c << 21 * b for b, c in enumerate(reversed(own)))
+            f, g = nb._tail(far[i : i + 1], gram[i : i + 1], k)
+            assert (int(f[0]) << 63) + int(g[0]) == packed
+            f, g = nb._head(f, g)
+            assert (int(f[0]) << 63) + int(g[0]) == packed >> 21
+    assert len(np.unique(nb._hash(far, gram, 5))) == len(far)
