@@ -22,7 +22,7 @@ from ..sources import files, streams
 from ..sources.points import PointTable
 from ..sources.rows import with_row_index
 from ..streaming import jobs
-from ..streaming.progress import progress_frame
+from ..streaming.progress import run_logged
 from . import tables as src
 
 EMBEDDER = HashingEmbedder(src.DIM)
@@ -220,9 +220,13 @@ def dedup_stream_bounded(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _flat(spark.read.schema(posts.schema).parquet(f"{base}/out"))
 
 
+def _log(spark: SparkSession) -> str:
+    return work_path(spark, "progress", uuid.uuid4().hex)
+
+
 def progress_metrics(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Totals over the micro-batches of a run."""
-    batches = progress_frame(spark, _stream_run(spark, sf_dir, "exact", 4)[0])
+    """Totals over all micro-batches of a run."""
+    batches = run_logged(spark, _log(spark), lambda: _stream_run(spark, sf_dir, "exact", 4)[0])
     totals = ["input_rows", "accepted", "rejected", "late_rows"]
     return batches.agg(*[F.sum(c).alias(c) for c in totals])
 
@@ -232,7 +236,8 @@ def rate_replay(spark: SparkSession, sf_dir: str) -> DataFrame:
     base = work_path(spark, "streams", uuid.uuid4().hex)
     lines = streams.file_lines(spark, src.raw_path(spark, sf_dir), files_per_trigger=4)
     sink = streams.file_sink(lines, f"{base}/out", f"{base}/checkpoint")
-    return progress_frame(spark, jobs.run_available(sink)).agg(F.sum("input_rows").alias("input_rows"))
+    batches = run_logged(spark, _log(spark), lambda: jobs.run_available(sink))
+    return batches.agg(F.sum("input_rows").alias("input_rows"))
 
 
 # --- index ----------------------------------------------------------------------------
@@ -297,7 +302,7 @@ def upsert_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
 def upsert_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     """User and assistant turns as two topics, indexed by streams of their own.
 
-    The table is compacted in between; then the first topic gets a few more messages.
+    The table is compacted in between; then the first topic gets all system turns.
     """
     turns = src.table(spark, sf_dir, "conversations")
     base = work_path(spark, "points", uuid.uuid4().hex)
@@ -314,7 +319,7 @@ def upsert_streams(spark: SparkSession, sf_dir: str) -> DataFrame:
     feed_topic("user", turns.where("role = 'user'"))
     feed_topic("assistant", turns.where("role = 'assistant'"))
     found.compact()
-    feed_topic("user", turns.where("role = 'system' and conv_id % 2 = 0"))
+    feed_topic("user", turns.where("role = 'system'"))
     return found.current().select("tweetId", "point_id", "text")
 
 

@@ -359,7 +359,7 @@ FROM newest JOIN uuids USING (tweetId)""",
     "upsert_streams": f"""WITH {_fill(_UUID, ids="(SELECT DISTINCT CAST(conv_id AS VARCHAR) AS tweetId FROM conversations)")},
 arrived AS (
   SELECT *, CASE role WHEN 'user' THEN 0 WHEN 'assistant' THEN 1 ELSE 2 END AS delivery FROM conversations
-  WHERE trim(text, E' \\t\\n\\r') <> '' AND (role IN ('user', 'assistant') OR (role = 'system' AND conv_id % 2 = 0))),
+  WHERE trim(text, E' \\t\\n\\r') <> '' AND role IN ('user', 'assistant', 'system')),
 newest AS (
   SELECT CAST(conv_id AS VARCHAR) AS tweetId, text FROM arrived
   QUALIFY row_number() OVER (PARTITION BY conv_id ORDER BY delivery DESC, turn DESC) = 1)

@@ -10,7 +10,7 @@ from plumefeed.operators import clean, dedup, monitor
 from plumefeed.sources import streams
 from plumefeed.sources.points import PointTable
 from plumefeed.streaming import jobs
-from plumefeed.streaming.progress import ProgressListener, progress_frame
+from plumefeed.streaming.progress import ProgressListener, ProgressLog, progress_frame, run_logged
 
 T0 = 1700000000
 
@@ -232,3 +232,36 @@ def test_work_is_removed_at_the_end_of_a_job(spark, monkeypatch, tmp_path):
     assert kept.count() == 3 and os.path.isdir(tmp_path / "job")
     config.drop_work(spark)
     assert not os.path.exists(tmp_path / "job")
+
+
+def test_progress_of_more_batches_than_spark_keeps(spark, tmp_path):
+    n = 104
+    for i in range(n):
+        drop(f"{tmp_path}/in", i, *[f"line {i}"] * (i % 3 + 1))
+    lines = streams.file_lines(spark, f"{tmp_path}/in", 1)
+    runs = []
+
+    def start():
+        sink = lines.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/checkpoint")
+        runs.append(jobs.run_available(sink))
+        return runs[-1]
+
+    batches = run_logged(spark, f"{tmp_path}/log", start)
+    assert len(runs[0].recentProgress) < n
+    got = {r.batch_id: r.input_rows for r in batches.collect()}
+    assert got == {i: i % 3 + 1 for i in range(n)}
+
+
+def test_progress_of_queries_is_told_apart(spark, tmp_path):
+    log = ProgressLog(spark, f"{tmp_path}/log", flush_every=2)
+    spark.streams.addListener(log)
+    try:
+        for name, sizes in (("a", [1, 2, 3]), ("b", [4])):
+            for i, size in enumerate(sizes):
+                drop(f"{tmp_path}/{name}", i, *["x"] * size)
+            lines = streams.file_lines(spark, f"{tmp_path}/{name}", 1)
+            sink = lines.writeStream.format("noop").option("checkpointLocation", f"{tmp_path}/c-{name}")
+            query = jobs.run_available(sink)
+            assert rows(log.batches(query).where("input_rows > 0"), "input_rows") == [(s,) for s in sizes]
+    finally:
+        spark.streams.removeListener(log)
