@@ -38,9 +38,9 @@ SYMBOLS = CHUNKS * WIDTH
 PLANES = 4
 # Words of 64 bits of a set's parity sketch.
 PARITY = 16
-# At a similarity of 0.8 some 9 symbols differ, give or take 3; more than this many do in one
-# of 1.6 million pairs, and such a pair is not compared. Below it the full sets decide.
-REJECT = 24
+# At a similarity of 0.8 some 9 symbols differ, give or take 3. A hub is tried only with
+# members that differ in at most this many; the last round compares what the hubs left out.
+PROMISING = 24
 HUB_ROUNDS = 2
 
 _PLANE = [f"p{i}" for i in range(PLANES)]
@@ -144,15 +144,18 @@ def _chunk_keys(reps: DataFrame) -> DataFrame:
     return map_rows(reps.select("doc_id", "sig"), run, "key long, doc_id long")
 
 
-def _chance(a: str, b: str, threshold: float) -> Column:
-    """Whether sizes and signatures of a pair leave a chance of the threshold."""
-    sizes = F.least(F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")) >= threshold * F.greatest(
-        F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
-    )
+def _near_sizes(a: str, b: str, threshold: float) -> Column:
+    """Whether the sizes of a pair leave a chance of the threshold."""
+    sizes = F.col(f"{a}.n_shingles"), F.col(f"{b}.n_shingles")
+    return F.least(*sizes) >= threshold * F.greatest(*sizes)
+
+
+def _promising(a: str, b: str) -> Column:
+    """Whether the signatures of a pair are so near that a hub should be tried."""
     differ = F.lit(0).cast("long")
     for c in _PLANE:
         differ = differ.bitwiseOR(F.col(f"{a}.{c}").bitwiseXOR(F.col(f"{b}.{c}")))
-    return sizes & (F.bit_count(differ) <= REJECT)
+    return F.bit_count(differ) <= PROMISING
 
 
 def _near_parity(a: str, b: str, threshold: float) -> Column:
@@ -282,11 +285,13 @@ def near_duplicates(docs: DataFrame, width: int = 5, percent: int = 80) -> DataF
         spans = placed.groupBy("key").agg(hub, F.max("comp").alias("top"))
         spans = spans.where("hub.comp <> top")
         met = (F.col("x.key") == F.col("y.key")) & (F.col("x.comp") < F.col("y.comp"))
-        met = met & _chance("x", "y", threshold)
+        met = met & _near_sizes("x", "y", threshold)
         if step < HUB_ROUNDS:
+            met = met & _promising("x", "y")
             x, y = spans.select("key", "hub.*").alias("x"), placed.alias("y")
         else:
-            # What is left after the hubs: all pairs across components.
+            # What is left after the hubs: all pairs across components that share a key. Only
+            # sizes and parities cut some of them, which loses no link.
             left = placed.join(spans.select("key"), "key", "left_semi")
             left = materialize(left.join(reps.select("doc_id", *_ODD), "doc_id"), "open")
             x, y = left.alias("x"), left.alias("y")
