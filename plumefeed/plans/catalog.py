@@ -16,7 +16,7 @@ from ..functions.ids import point_id
 from ..functions.ranking import final_score, normalize_similarity, recency_score
 from ..functions.vectors import cosine
 from ..functions.wordpiece import decode_by_join, decoder, shared_vocab
-from ..operators import clean, dedup, feed, index, ingest, monitor, profile
+from ..operators import clean, dedup, feed, index, ingest, monitor, profile, similar
 from ..operators.knn import KnnSettings, knn
 from ..sources import files, streams
 from ..sources.points import PointTable
@@ -459,18 +459,36 @@ def jaccard_turns(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _candidates(spark: SparkSession, sf_dir: str) -> DataFrame:
-    ranked = materialize(_scored(spark, sf_dir), "candidates")
-    return feed.with_words(ranked, src.points(spark, sf_dir))
+def _near(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Classes and similar pairs of all posts; finding them runs jobs."""
+    return similar.similar_posts(src.points(spark, sf_dir), FeedSettings().near_duplicate_threshold)
+
+
+def similar_pairs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Similar classes by their smallest members, and how many posts each class has."""
+    members, pairs = _near(spark, sf_dir)
+    heads = members.groupBy("class").agg(F.min("point_id").alias("head"), F.count("*").alias("posts"))
+    ends = [heads.select(*[F.col(c).alias(f"{c}_{side}") for c in heads.columns]) for side in "ab"]
+    both = pairs.join(ends[0], F.col("a") == F.col("class_a")).join(ends[1], F.col("b") == F.col("class_b"))
+    swapped = F.col("head_a") > F.col("head_b")
+    return both.select(
+        F.least("head_a", "head_b").alias("point_id"),
+        F.greatest("head_a", "head_b").alias("other_id"),
+        F.when(swapped, F.col("posts_b")).otherwise(F.col("posts_a")).alias("posts"),
+        F.when(swapped, F.col("posts_a")).otherwise(F.col("posts_b")).alias("other_posts"),
+        _round("jaccard").alias("jaccard"),
+    )
 
 
 def near_dup_greedy(spark: SparkSession, sf_dir: str) -> DataFrame:
-    kept = feed.drop_near_duplicates(_candidates(spark, sf_dir))
+    ranked = materialize(_scored(spark, sf_dir), "candidates")
+    kept = similar.keep_distinct(ranked, *_near(spark, sf_dir), feed.SCORES)
     return kept.select("userId", "rank", "point_id", _round("finalScore", 8).alias("finalScore"))
 
 
 def near_dup_matches(spark: SparkSession, sf_dir: str) -> DataFrame:
-    found = feed.near_duplicate_matches(_candidates(spark, sf_dir))
+    ranked = materialize(_scored(spark, sf_dir), "candidates")
+    found = similar.match_distinct(ranked, *_near(spark, sf_dir))
     return found.select("userId", "point_id", "kept_point_id", _round("jaccard").alias("jaccard"))
 
 
@@ -482,6 +500,7 @@ def _feed(spark: SparkSession, sf_dir: str) -> DataFrame:
         src.AS_OF,
         src.DIM,
         FeedSettings.from_conf(spark),
+        near=_near(spark, sf_dir),
     )
 
 
@@ -610,6 +629,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         score_functions,
         content_words,
         jaccard_turns,
+        similar_pairs,
         near_dup_greedy,
         near_dup_matches,
         feed_hashed,

@@ -414,6 +414,17 @@ FROM (SELECT doc_id, {_fill(_WORD_LIST, text="text")} AS ws FROM documents)""",
 SELECT a.conv_id, a.turn, round(CASE WHEN len(a.ws) = 0 AND len(b.ws) = 0 THEN 1.0::DOUBLE ELSE
   len(list_intersect(a.ws, b.ws)) / CAST(len(list_distinct(list_concat(a.ws, b.ws))) AS DOUBLE) END, 6) AS jaccard
 FROM t a JOIN t b ON a.conv_id = b.conv_id AND a.turn = b.turn + 1""",
+    "similar_pairs": f"""WITH {_POINTS},
+wordsets AS (SELECT point_id, list_sort({_fill(_WORD_LIST, text="text")}) AS ws FROM points),
+classes AS (SELECT ws, min(point_id) AS head, count(*) AS posts FROM wordsets GROUP BY ws),
+words AS (SELECT head, posts, len(ws) AS n, unnest(ws) AS w FROM classes),
+shared AS (
+  SELECT a.head AS a, b.head AS b, any_value(a.posts) AS pa, any_value(b.posts) AS pb, count(*) AS c,
+    any_value(a.n) AS na, any_value(b.n) AS nb
+  FROM words a JOIN words b ON a.w = b.w AND a.head < b.head GROUP BY 1, 2)
+SELECT a AS point_id, b AS other_id, pa AS posts, pb AS other_posts,
+  round(c / CAST(na + nb - c AS DOUBLE), 6) AS jaccard
+FROM shared WHERE c / CAST(na + nb - c AS DOUBLE) >= 0.4""",
     "near_dup_greedy": f"""WITH {_BASE}, {_WALK}
 SELECT userId, rank, point_id, round(finalScore, 8) AS finalScore FROM kept JOIN scored USING (userId, point_id)""",
     "near_dup_matches": f"""WITH {_BASE}, {_WALK}
