@@ -18,11 +18,13 @@ from ..functions.vectors import cosine
 from ..functions.wordpiece import decode_by_join, decoder, shared_vocab
 from ..operators import clean, dedup, feed, index, ingest, monitor, profile, similar
 from ..operators.knn import KnnSettings, knn
+from ..schemas import POINT
 from ..sources import files, streams
 from ..sources.points import PointTable
 from ..sources.rows import with_row_index
 from ..streaming import jobs
 from ..streaming.progress import run_logged
+from ..streaming.topk import TopKView, topk_stream
 from . import tables as src
 
 EMBEDDER = HashingEmbedder(src.DIM)
@@ -416,6 +418,18 @@ def knn_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(spark, sf_dir)
 
 
+def knn_topk_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same lists, kept up to date while the points arrive file by file."""
+    base = work_path(spark, "topk", uuid.uuid4().hex)
+    view = TopKView(spark, f"{base}/view", FeedSettings().pool_size, src.DIM, CELLS, fold_every=2)
+    view.set_users(profile.good_profiles(src.judged_profiles(spark, sf_dir)))
+    path = src.points_path(spark, sf_dir)
+    n = src.points(spark, sf_dir).rdd.getNumPartitions()
+    source = spark.readStream.schema(POINT).option("maxFilesPerTrigger", -(-n // 6)).parquet(path)
+    jobs.run_available(topk_stream(source, view, f"{base}/checkpoint"))
+    return view.current()
+
+
 def knn_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(spark, sf_dir, CELLS)
 
@@ -625,6 +639,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         interest_cosine,
         knn_topk,
         knn_topk_cells,
+        knn_topk_stream,
         candidate_scores,
         score_functions,
         content_words,

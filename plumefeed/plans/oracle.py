@@ -493,4 +493,5 @@ ORACLE |= {
     "index_stream": _PAYLOAD,
     "decode_tokens_joined": ORACLE["decode_tokens"],
     "knn_topk_cells": ORACLE["knn_topk"],
+    "knn_topk_stream": ORACLE["knn_topk"],
 }

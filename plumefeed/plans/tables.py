@@ -259,7 +259,7 @@ def posts(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+def points_path(spark: SparkSession, sf_dir: str) -> str:
     """All posts with their vectors: the given one, else the hashed words of the text.
 
     Stored, as an index is, because every feed query reads it.
@@ -275,7 +275,11 @@ def points(spark: SparkSession, sf_dir: str) -> DataFrame:
         both = given.select(*POINT.fieldNames()).unionByName(rest.select(*POINT.fieldNames()))
         both.write.parquet(path)
 
-    return spark.read.schema(POINT).parquet(_once(spark, sf_dir, "points", write))
+    return _once(spark, sf_dir, "points", write)
+
+
+def points(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return spark.read.schema(POINT).parquet(points_path(spark, sf_dir))
 
 
 def interests(spark: SparkSession, sf_dir: str) -> DataFrame:
