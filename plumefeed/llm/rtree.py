@@ -23,7 +23,7 @@ from ..config import materialize
 from .vectors import EXACT, first_copies, matrix, products, scaled, shares_of, width_of
 
 # Rows of a share, anchors that meet a share in one group, rows of a leaf, children of a box.
-SHARE_ROWS, CHUNK_ANCHORS, LEAF, FAN = 16_384, 4_096, 64, 8
+SHARE_ROWS, CHUNK_ANCHORS, LEAF, FAN = 16_384, 4_096, 128, 8
 # Rows that the cuts of the tiles are fitted on, and bytes of all tiles' boxes.
 SAMPLE_ROWS, BOX_BYTES = 8_192, 4 << 20
 FOUND = "anchor_id long, goal int, vec_id long, score long"
@@ -66,6 +66,7 @@ class Tree:
             low, high = np.minimum.reduceat(low, at, axis=0), np.maximum.reduceat(high, at, axis=0)
             first, last = np.minimum.reduceat(first, at), np.maximum.reduceat(last, at)
             self.levels.append((low, high, first, last))
+        self.size = float(np.abs(x).max(initial=0)) * x.shape[1]
         self.opened = 0
 
     def search(self, q, own, label, same, k, low, high) -> list[list[tuple[int, int]]]:
@@ -73,6 +74,7 @@ class Tree:
         found: list[list[tuple[int, int]]] = [[] for _ in low]
         bar, top = low.copy(), high.max()
         up, down = np.maximum(q, 0), np.minimum(q, 0)
+        plain = self.size * np.abs(q).max(initial=0) < EXACT
         queue, tick = [(-top, 0, len(self.levels), 0)], 0
         while queue:
             best, _, level, node = heapq.heappop(queue)
@@ -81,7 +83,11 @@ class Tree:
                 break
             if level == 0:
                 self.opened += 1
-                self._read(node, q, own, label, same, k, low, high, bar, found)
+                rows = slice(node * LEAF, node * LEAF + LEAF)
+                scores = self.x[rows] @ q if plain else products(q[None], self.x[rows])[0]
+                near = np.flatnonzero((scores >= bar.min()) & (scores <= top))
+                if len(near):
+                    self._keep(near + rows.start, scores[near], own, label, same, k, high, bar, found)
                 continue
             level -= 1
             span = slice(node * FAN, node * FAN + FAN) if level + 1 < len(self.levels) else slice(0, 1)
@@ -94,17 +100,17 @@ class Tree:
                 heapq.heappush(queue, (-min(ends[1][i], top), tick, level, span.start + i))
         return found
 
-    def _read(self, leaf, q, own, label, same, k, low, high, bar, found) -> None:
-        rows = slice(leaf * LEAF, leaf * LEAF + LEAF)
-        scores = products(q[None], self.x[rows])[0]
-        fits = (self.ids[rows] != own) & ((self.labels[rows] == label) == same) & (scores >= bar.min())
+    def _keep(self, rows, scores, own, label, same, k, high, bar, found) -> None:
+        """Put rows among the best of their windows, and raise the windows' bars."""
+        ids = self.ids[rows]
+        fits = (ids != own) & ((self.labels[rows] == label) == same)
         if not fits.any():
             return
-        scores, ids = scores[fits], self.ids[rows][fits]
+        best = sorted((-int(s), i) for s, i in zip(scores[fits].tolist(), ids[fits].tolist()))
         for j, kept in enumerate(found):
-            inside = (scores >= bar[j]) & (scores <= high[j])
-            if inside.any():
-                kept += zip(scores[inside].tolist(), ids[inside].tolist())
+            inside = [(-s, i) for s, i in best if bar[j] <= -s <= high[j]][:k]
+            if inside:
+                kept += inside
                 kept.sort(key=lambda p: (-p[0], p[1]))
                 del kept[k:]
                 if len(kept) == k:
