@@ -124,15 +124,15 @@ c{k} AS (
       + count(*) FILTER (n >= 3)::DOUBLE * any_value(d3)) / sum(n)::DOUBLE AS rest
   FROM l{k}, d{k} GROUP BY 1),
 p{k} AS (
-  SELECT l.g, (n::DOUBLE - CASE n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / total + rest * b.p AS p
+  SELECT l.g, l.n, (l.n::DOUBLE - CASE l.n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / total + rest * b.p AS p
   FROM l{k} l JOIN c{k} c ON c.h = array_slice(l.g, 1, {k - 1}) JOIN d{k} ON true {low}),"""
-    worth = "(SELECT CAST(round(log2(p) * 65536) AS BIGINT) FROM p0)"
+    worth = "(SELECT CAST(round(log2(p) * 1024) AS BIGINT) FROM p0)"
     joins = ""
     for k in range(1, order + 1):
         worth = f"coalesce(w{k}.w, coalesce(v{k}.w, 0) + {worth})"
         joins += f"""
-  LEFT JOIN (SELECT g, CAST(round(log2(p) * 65536) AS BIGINT) AS w FROM p{k}) w{k} ON w{k}.g = array_slice(a.g, {order + 1 - k}, {order})
-  LEFT JOIN (SELECT h, CAST(round(log2(rest) * 65536) AS BIGINT) AS w FROM c{k}) v{k} ON v{k}.h = array_slice(a.g, {order + 1 - k}, {order - 1})"""
+  LEFT JOIN (SELECT g, CAST(round(log2(p) * 1024) AS BIGINT) AS w FROM p{k}{' WHERE n > 1' if k > 1 else ''}) w{k} ON w{k}.g = array_slice(a.g, {order + 1 - k}, {order})
+  LEFT JOIN (SELECT h, CAST(round(log2(rest) * 1024) AS BIGINT) AS w FROM c{k} WHERE total > 1) v{k} ON v{k}.h = array_slice(a.g, {order + 1 - k}, {order - 1})"""
     return f"""
 WITH rows_ AS (
   SELECT row_number() OVER () AS k, doc_id, lang, coalesce(text, '') AS text FROM documents),
@@ -177,12 +177,12 @@ grams AS (
   FROM chars WINDOW w AS (PARTITION BY k order BY i)),
 places AS (SELECT k, g, count(*) AS times FROM grams GROUP BY ALL),
 l{order} AS (
-  SELECT g, CAST(sum(times) AS BIGINT) AS n FROM places JOIN judged USING (k) WHERE prose AND NOT held GROUP BY g),{levels}{probs}
+  SELECT g, CAST(count(*) AS BIGINT) AS n FROM places JOIN judged USING (k) WHERE prose AND NOT held GROUP BY g),{levels}{probs}
 asked AS (SELECT DISTINCT g FROM places),
 worth AS (
   SELECT a.g, {worth} AS w FROM asked a{joins}),
 scores AS (
-  SELECT k, CAST(-sum(times * w) AS BIGINT) * 1000 // (CAST(sum(times) AS BIGINT) * 65536) AS millibits
+  SELECT k, CAST(-sum(times * w) AS BIGINT) * 1000 // (CAST(sum(times) AS BIGINT) * 1024) AS millibits
   FROM places JOIN worth USING (g) GROUP BY k),
 measured AS (SELECT * FROM judged LEFT JOIN scores USING (k)),
 ends AS (

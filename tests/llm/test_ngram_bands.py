@@ -44,7 +44,7 @@ def plain_millibits(learned, texts, order=nb.ORDER):
     """Interpolated modified Kneser-Ney over characters, by dictionaries."""
     pad = ("",) * (order - 1)
     grams = lambda t: [(*pad, *t)[i : i + order] for i in range(len(t))]
-    counts = {order: Counter(g for t in learned for g in grams(t))}
+    counts = {order: Counter(g for t in learned for g in set(grams(t)))}
     for k in range(order - 1, 0, -1):
         counts[k] = Counter(g[1:] for g in counts[k + 1])
     pulls, total, kinds = {}, {}, {}
@@ -67,10 +67,10 @@ def plain_millibits(learned, texts, order=nb.ORDER):
             p[g] = (c - pulls[k][min(c, 3) - 1]) / total[k][g[:-1]] + rest[k][g[:-1]] * p[g[1:]]
 
     def worth(g):
-        if g in p:
-            return whole(p[g])
         k, h = len(g), g[:-1]
-        return worth(g[1:]) + (whole(rest[k][h]) if h in rest[k] else 0)
+        if k < 2 and g in p or k > 1 and counts[k][g] > 1:
+            return whole(p[g])
+        return worth(g[1:]) + (whole(rest[k][h]) if total[k][h] > 1 else 0)
 
     return {i: (-sum(map(worth, grams(t))) * 1000 // (len(t) * nb.UNIT) if t else None) for i, t in texts.items()}
 
@@ -182,3 +182,28 @@ def test_tails_and_heads():
             f, g = nb._head(f, g)
             assert (int(f[0]) << 63) + int(g[0]) == packed >> 21
     assert len(np.unique(nb._hash(far, gram, 5))) == len(far)
+
+
+def test_tally_equals_counting_whatever_the_alphabet():
+    rng = random.Random(2)
+    plain = ["", "a", "abcab" * 9, "ab", None, "é漢😀z" * 3, "", "abcabx"]
+    wide = ["".join(chr(rng.randrange(0x4E00, 0x9FFF)) for _ in range(3000)) * 2 for _ in range(3)]
+    for texts in (plain, wide, [""], plain + wide):
+        column = nb.as_text(pa.array(texts, pa.string()))
+        tally = nb._Tally(column)
+        assert tally.size.tolist() == [len(t or "") for t in texts]
+        got = {}
+        for g in range(len(tally.far)):
+            for p in range(tally.first[g], tally.first[g + 1]):
+                got[int(tally.row[p]), int(tally.far[g]), int(tally.gram[g])] = int(tally.times[p])
+        expected = Counter()
+        for i, t in enumerate(texts):
+            c = [0] * 4 + [ord(x) + 1 for x in t or ""]
+            for j in range(4, len(c)):
+                expected[i, c[j - 4] << 21 | c[j - 3], c[j - 2] << 42 | c[j - 1] << 21 | c[j]] += 1
+        assert got == expected
+        values = np.arange(1, len(tally.far) + 1)
+        assert tally.sums(values).tolist() == [
+            sum(n * v for g, v in enumerate(values.tolist()) for (r, f, m), n in [((i, int(tally.far[g]), int(tally.gram[g])), expected[i, int(tally.far[g]), int(tally.gram[g])])])
+            for i in range(len(texts))
+        ]
