@@ -13,9 +13,6 @@ from pyspark.sql import Window as W
 
 from ..config import materialize
 
-# Rows of one task's share of a bucket, about.
-SHARD_ROWS = 5_000
-
 
 def word_count(text: Column) -> Column:
     """Words between white space; null texts have none."""
@@ -72,9 +69,11 @@ def pack(
     Returns ``doc_id, n_tokens, bucket, padded_length, batch_id, slot``. Every document of a
     bucket is padded to the bucket's ``padded_length``, a multiple of ``align``; a batch holds
     as many documents as fit ``budget`` padded tokens, one at least. All batches of a bucket
-    but its last one are full. Documents go by length, then id.
+    but its last one are full. Documents go by length, then id, null ids first, at every size
+    of the table; rows with the same length and id are alike and take their slots in any order.
 
-    ``length`` is the number of tokens, by default of words between white space. Documents
+    ``length`` is the number of tokens, as a tokenizer counted them before. By default a token
+    is a word between white space, and the budget is one of words. Documents
     without tokens, null texts among them, get no bucket, batch and slot. Every row gives a
     row, also with a null or repeated id. Other columns are ignored; an empty table gives an
     empty result.
@@ -106,20 +105,20 @@ def pack(
         begin = stop
     bounds = spark.createDataFrame(plan, "bucket int, padded_length long, room long, base long")
 
-    shards = max(1, int(counts.sum()) // SHARD_ROWS)
     below = F.filter(F.array(*[F.lit(e).cast("long") for e in ends]), lambda e: e < F.col("n_tokens"))
     full = sized.where("n_tokens > 0").select(
-        "*",
-        (F.size(below) if ends else F.lit(0)).cast("int").alias("bucket"),
-        F.pmod(F.xxhash64("doc_id", "n_tokens"), F.lit(shards)).alias("shard"),
+        "*", (F.size(below) if ends else F.lit(0)).cast("int").alias("bucket")
     )
-    # Place in the bucket: rows of the shards before, and the place in the own shard.
-    sizes = full.groupBy("bucket", "shard").agg(F.count("*").alias("n"))
-    ahead = W.partitionBy("bucket").orderBy("shard").rowsBetween(W.unboundedPreceding, -1)
-    before = sizes.select("bucket", "shard", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
-    own = W.partitionBy("bucket", "shard").orderBy("n_tokens", "doc_id")
+    # Place in the bucket: rows of the ranges before, and the place in the own range.
+    order = ["n_tokens", "doc_id"]
+    full = full.repartitionByRange("bucket", *order).withColumn("part", F.spark_partition_id())
+    full = materialize(full, "ranged")
+    sizes = full.groupBy("bucket", "part").agg(F.count("*").alias("n"))
+    ahead = W.partitionBy("bucket").orderBy("part").rowsBetween(W.unboundedPreceding, -1)
+    before = sizes.select("bucket", "part", F.coalesce(F.sum("n").over(ahead), F.lit(0)).alias("ahead"))
+    own = W.partitionBy("bucket", "part").orderBy(*order)
     placed = full.withColumn("place", F.row_number().over(own) - 1)
-    placed = placed.join(before, ["bucket", "shard"]).join(bounds, "bucket")
+    placed = placed.join(before, ["bucket", "part"]).join(bounds, "bucket")
     place = F.col("ahead") + F.col("place")
     packed = placed.select(
         "doc_id",

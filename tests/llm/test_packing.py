@@ -62,8 +62,7 @@ def test_documents(spark, sf):
     assert sizes == packing.best_boundaries(*padded, 5)
 
 
-def test_many_rows_of_one_length(spark, monkeypatch):
-    monkeypatch.setattr(packing, "SHARD_ROWS", 50)
+def test_many_rows_of_one_length(spark):
     docs = spark.range(2000).select(
         F.col("id").alias("doc_id"),
         F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 40).alias("size"),
@@ -71,6 +70,17 @@ def test_many_rows_of_one_length(spark, monkeypatch):
     rows = packing.pack(docs, F.col("size"), buckets=4, budget=100, align=1).collect()
     assert len(rows) == 2000
     check(rows, 4, 100, 1)
+    # Documents go by length, then id, over all batches of a bucket.
+    packed = sorted((r for r in rows if r.n_tokens > 0), key=lambda r: (r.batch_id, r.slot))
+    assert [(r.bucket, r.n_tokens, r.doc_id) for r in packed] == sorted((r.bucket, r.n_tokens, r.doc_id) for r in packed)
+
+
+def test_order_does_not_depend_on_the_rows(spark):
+    """Every bucket goes by length, then id, in a small table and in one of 30,000 rows."""
+    for n in (300, 30_000):
+        docs = spark.range(n).select(F.col("id").alias("doc_id"), (F.col("id") * 7919 % 8 + 1).alias("size"))
+        rows = packing.pack(docs, F.col("size"), buckets=1, budget=64, align=8).orderBy("batch_id", "slot").collect()
+        assert [(r.n_tokens, r.doc_id) for r in rows] == sorted((r.n_tokens, r.doc_id) for r in rows)
 
 
 def test_odd_rows(odd, odd_rows, nothing):
