@@ -3,6 +3,7 @@
 import math
 import os
 import random
+import zlib
 from collections import Counter, defaultdict
 
 import pytest
@@ -47,6 +48,10 @@ def brute(trusted, texts, order=kn.ORDER):
     }
 
 
+def left_out(i):
+    return zlib.crc32(str(i).encode()) % 5 == 0
+
+
 @pytest.fixture(scope="module")
 def corpus():
     rng = random.Random(7)
@@ -71,16 +76,23 @@ def test_equals_plain_model(spark, documents, corpus, monkeypatch):
 
 def test_thresholds_by_language(spark, documents, corpus):
     good, bad = corpus
-    rows = [(i, t, "en" if i % 2 else None) for i, t in good.items()] + [(i, t, "en") for i, t in bad.items()]
+    # Some texts again under ids that are left out, enough for a threshold of each language.
+    ids_out = [i for i in range(1000, 2000) if left_out(i)][:50]
+    good = {**good, **{i: good[n % 60][::-1] for n, i in enumerate(ids_out)}}
+    place = {i: n for n, i in enumerate(good)}
+    rows = [(i, t, "en" if place[i] % 2 else None) for i, t in good.items()] + [(i, t, "en") for i, t in bad.items()]
     ids = spark.createDataFrame([(i,) for i in good], "doc_id long")
     judged = kn.judge_quality(documents(rows), ids).collect()
-    assert {r.doc_id for r in judged if not r.kept} == set(bad)
+    assert {r.doc_id for r in judged if not r.kept} >= set(bad)
+    lost = [r.doc_id for r in judged if not r.kept and r.doc_id in good]
+    assert len(lost) <= 4
     assert len({r.threshold for r in judged if r.lang == "en"}) == 1
     assert len({r.threshold for r in judged}) == 2
 
 
 def test_odd_rows(spark, odd, odd_rows, nothing):
     ids = spark.createDataFrame([(1,), (5,), (9,)], "doc_id long")
+    assert not left_out(1) or not left_out(5) or not left_out(9)
     rows = kn.judge_quality(odd, ids).collect()
     assert len(rows) == len(odd_rows)
     for r in rows:
@@ -98,7 +110,7 @@ def test_threshold_is_the_quantile_itself(spark, sf):
     rows = kn.judge_quality(docs, labels.where("quality = 1")).collect()
     good = defaultdict(list)
     for r in rows:
-        if quality.get(r.doc_id) == 1 and r.perplexity is not None:
+        if quality.get(r.doc_id) == 1 and r.perplexity is not None and left_out(r.doc_id):
             good[r.lang].append(r.perplexity)
     everyone = sorted(p for of_lang in good.values() for p in of_lang)
     for r in rows:
