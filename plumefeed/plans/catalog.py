@@ -16,7 +16,7 @@ from ..functions.ids import point_id
 from ..functions.ranking import final_score, normalize_similarity, recency_score
 from ..functions.vectors import cosine
 from ..functions.wordpiece import decode_by_join, decoder, shared_vocab
-from ..operators import clean, dedup, feed, index, ingest, monitor, profile, similar
+from ..operators import clean, dedup, feed, index, ingest, ivf, monitor, profile, similar
 from ..operators.knn import KnnSettings, knn
 from ..schemas import POINT
 from ..sources import files, streams
@@ -434,6 +434,18 @@ def knn_topk_cells(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _hits(spark, sf_dir, CELLS)
 
 
+def approx_recall(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Inverted lists against the exact search, for all users; a sample of them sets the probes."""
+    users = profile.good_profiles(src.judged_profiles(spark, sf_dir))
+    lists = ivf.InvertedLists.build(src.points(spark, sf_dir), src.DIM)
+    k = FeedSettings().pool_size
+    found, sure = lists.search(users, k, lists.probes_for(users, k))
+    measured = ivf.recall(found, _hits(spark, sf_dir))
+    return measured.select(
+        F.lit(sure.count()).alias("users"), "hits", (F.col("recall") >= 0.95).alias("reached")
+    )
+
+
 def _scored(spark: SparkSession, sf_dir: str) -> DataFrame:
     return feed.score_hits(_hits(spark, sf_dir), src.points(spark, sf_dir), src.AS_OF)
 
@@ -640,6 +652,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         knn_topk,
         knn_topk_cells,
         knn_topk_stream,
+        approx_recall,
         candidate_scores,
         score_functions,
         content_words,

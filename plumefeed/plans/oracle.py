@@ -397,6 +397,8 @@ FROM (SELECT userId, vec_id, CAST(embedding AS DOUBLE[]) AS e, CAST(profile AS D
       FROM vectors JOIN profiles USING (userId))""",
     "knn_topk": f"""WITH {_POINTS}, {_INTERESTS}, {_MEAN}, {_HITS}
 SELECT userId, point_id, cosine FROM hits""",
+    "approx_recall": f"""WITH {_POINTS}, {_INTERESTS}, {_MEAN}, {_HITS}
+SELECT count(DISTINCT userId) AS users, count(*) AS hits, true AS reached FROM hits""",
     "candidate_scores": f"""WITH {_BASE}
 SELECT userId, CAST(position AS INTEGER) AS position, point_id, round(semanticSimilarity, 10) AS semanticSimilarity,
   round(recencyScore, 8) AS recencyScore, round(finalScore, 8) AS finalScore FROM scored""",
