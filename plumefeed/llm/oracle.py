@@ -104,11 +104,11 @@ def ngram_bands_sql(order: int = 5) -> str:
     levels = ""
     for n in range(order - 1, 0, -1):
         levels += f"""
-l{n} AS (SELECT array_slice(g, 2, {n + 1}) AS g, CAST(count(*) AS BIGINT) AS n FROM l{n + 1} GROUP BY 1),"""
+l{n} AS (SELECT substr(g, 2) AS g, CAST(count(*) AS BIGINT) AS n FROM l{n + 1} GROUP BY 1),"""
     probs = """
 p0 AS (SELECT 1.0::DOUBLE / (count(*) + 1)::DOUBLE AS p FROM l1),"""
     for k in range(1, order + 1):
-        low = "JOIN p0 b ON true" if k == 1 else f"JOIN p{k - 1} b ON b.g = array_slice(l.g, 2, {k})"
+        low = "JOIN p0 b ON true" if k == 1 else f"JOIN p{k - 1} b ON b.g = substr(l.g, 2)"
         probs += f"""
 t{k} AS (
   SELECT count(*) FILTER (n = 1)::DOUBLE AS t1, count(*) FILTER (n = 2)::DOUBLE AS t2,
@@ -119,20 +119,20 @@ d{k} AS (
     CASE WHEN t3 > 0 AND t4 > 0 THEN least(greatest(3 - 4 * y * t4 / t3, 0.1::DOUBLE), 3) ELSE 1.5::DOUBLE END AS d3
   FROM (SELECT *, CASE WHEN t1 > 0 AND t2 > 0 THEN t1 / (t1 + 2 * t2) ELSE 0.5::DOUBLE END AS y FROM t{k})),
 c{k} AS (
-  SELECT array_slice(g, 1, {k - 1}) AS h, sum(n)::DOUBLE AS total,
+  SELECT substr(g, 1, {k - 1}) AS h, sum(n)::DOUBLE AS total,
     (count(*) FILTER (n = 1)::DOUBLE * any_value(d1) + count(*) FILTER (n = 2)::DOUBLE * any_value(d2)
       + count(*) FILTER (n >= 3)::DOUBLE * any_value(d3)) / sum(n)::DOUBLE AS rest
   FROM l{k}, d{k} GROUP BY 1),
 p{k} AS (
   SELECT l.g, l.n, (l.n::DOUBLE - CASE l.n WHEN 1 THEN d1 WHEN 2 THEN d2 ELSE d3 END) / total + rest * b.p AS p
-  FROM l{k} l JOIN c{k} c ON c.h = array_slice(l.g, 1, {k - 1}) JOIN d{k} ON true {low}),"""
+  FROM l{k} l JOIN c{k} c ON c.h = substr(l.g, 1, {k - 1}) JOIN d{k} ON true {low}),"""
     worth = "(SELECT CAST(round(log2(p) * 1024) AS BIGINT) FROM p0)"
     joins = ""
     for k in range(1, order + 1):
         worth = f"coalesce(w{k}.w, coalesce(v{k}.w, 0) + {worth})"
         joins += f"""
-  LEFT JOIN (SELECT g, CAST(round(log2(p) * 1024) AS BIGINT) AS w FROM p{k}{' WHERE n > 1' if k > 1 else ''}) w{k} ON w{k}.g = array_slice(a.g, {order + 1 - k}, {order})
-  LEFT JOIN (SELECT h, CAST(round(log2(rest) * 1024) AS BIGINT) AS w FROM c{k} WHERE total > 1) v{k} ON v{k}.h = array_slice(a.g, {order + 1 - k}, {order - 1})"""
+  LEFT JOIN (SELECT g, CAST(round(log2(p) * 1024) AS BIGINT) AS w FROM p{k}{' WHERE n > 1' if k > 1 else ''}) w{k} ON w{k}.g = substr(a.g, {order + 1 - k})
+  LEFT JOIN (SELECT h, CAST(round(log2(rest) * 1024) AS BIGINT) AS w FROM c{k} WHERE total > 1) v{k} ON v{k}.h = substr(a.g, {order + 1 - k}, {k - 1})"""
     return f"""
 WITH rows_ AS (
   SELECT row_number() OVER () AS k, doc_id, lang, coalesce(text, '') AS text FROM documents),
@@ -143,13 +143,15 @@ texts AS (
       string_split(CAST(doc_id AS VARCHAR), ''), lambda ch: [ascii(ch)::BIGINT, 0, 0, 0, 0, 0, 0, 0]))),
       lambda c, b: xor(xor(c, b) >> 1, 3988292384::BIGINT * (xor(c, b) & 1))), 0) AS crc
   FROM rows_),
+tokens AS (
+  SELECT k, unnest(words) AS word, generate_subscripts(words, 1) AS i FROM texts WHERE len(words) >= 8),
 windows AS (
-  SELECT k, i, array_slice(words, i, i + 7) AS w
-  FROM texts, unnest(generate_series(1, len(words) - 7)) AS g(i) WHERE len(words) >= 8),
+  SELECT k, i, {' || '.join(['word', *(f"' ' || lead(word, {j}) OVER v" for j in range(1, 8))])} AS w
+  FROM tokens WINDOW v AS (PARTITION BY k ORDER BY i)),
 repeated AS (
   SELECT k, count(DISTINCT spot) AS n FROM (
     SELECT k, unnest(generate_series(i, i + 7)) AS spot
-    FROM (SELECT k, i, count(*) OVER (PARTITION BY k, w) AS times FROM windows) WHERE times > 1)
+    FROM (SELECT k, i, count(*) OVER (PARTITION BY k, w) AS times FROM windows WHERE w IS NOT NULL) WHERE times > 1)
   GROUP BY k),
 lines AS (
   SELECT k, count(*) - count(DISTINCT line) AS n
@@ -173,7 +175,7 @@ judged AS (
 chars AS (SELECT k, unnest(string_split(text, '')) AS c, generate_subscripts(string_split(text, ''), 1) AS i
   FROM texts WHERE n_chars > 0),
 grams AS (
-  SELECT k, [{', '.join(f"coalesce(lag(c, {b}) OVER w, '')" for b in range(order - 1, 0, -1))}, c] AS g
+  SELECT k, {' || '.join(f"coalesce(lag(c, {b}) OVER w, chr(1114111))" for b in range(order - 1, 0, -1))} || c AS g
   FROM chars WINDOW w AS (PARTITION BY k order BY i)),
 places AS (SELECT k, g, count(*) AS times FROM grams GROUP BY ALL),
 l{order} AS (
