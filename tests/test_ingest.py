@@ -1,6 +1,8 @@
 import hashlib
 import json
+from types import SimpleNamespace
 
+import pyarrow as pa
 import pytest
 from engine_helpers import rows
 from pyspark.sql import functions as F
@@ -299,6 +301,33 @@ def test_encode_truncates_with_both_marks(spark):
     assert len(ids) == 128 and ids[0] == 2 and ids[-1] == 3
 
 
+class Recorder:
+    """Encodes a text to its letters' codes, and notes how much it gets at a time."""
+
+    def __init__(self):
+        self.calls = []
+
+    def encode_batch(self, texts, add_special_tokens):
+        self.calls.append(sum(len(t.encode()) for t in texts))
+        return [SimpleNamespace(ids=[ord(c) for c in t]) for t in texts]
+
+
+def test_texts_and_ids_are_handled_in_bounded_steps(monkeypatch):
+    monkeypatch.setattr(wordpiece, "STEP_BYTES", 10)
+    monkeypatch.setattr(wordpiece, "STEP_IDS", 10)
+    texts = ["abc", None, "", "x" * 25, "éé", "abcd", "ab", "abc"] * 20
+    model = Recorder()
+    parts = list(wordpiece._encode_all(model, pa.array(texts), True))
+    ids = pa.chunked_array(parts).combine_chunks()
+    assert ids.to_pylist() == [None if t is None else [ord(c) for c in t] for t in texts]
+    # A long text goes alone; everything else in steps of ten bytes.
+    assert {n for n in model.calls if n > 10} == {25} and len(model.calls) < len(texts)
+    decode = wordpiece._Pieces([chr(i) for i in range(256)])
+    steps = list(decode.decode_all(ids))
+    assert [t for s in steps for t in s.to_pylist()] == decode.decode(ids).to_pylist()
+    assert max(len(s) for s in steps) < len(texts) // 2 and sum(map(len, steps)) == len(texts)
+
+
 def test_encode_then_decode(spark, toy_vocab):
     tokens = wordpiece.shared_vocab(toy_vocab)
     encode, decode = wordpiece.encoder(spark, tokens), wordpiece.decoder(spark, tokens)
