@@ -127,6 +127,24 @@ def test_decode_by_join_agrees(spark, toy_vocab):
     assert rows(got) == sorted(((i, t) for i, (_, t) in enumerate(cases)), key=repr)
 
 
+def test_decode_by_join_moves_different_ids_only(spark, toy_vocab):
+    """A long text of few different ids: what leaves the join is one row per different id."""
+    ids = [9, 10, 11, 8, 99, None] * 5_000
+    df = spark.createDataFrame([(1, ids), (2, None), (3, [8])], "n int, ids array<int>")
+    got = wordpiece.decode_by_join(df, "n", "ids", toy_vocab)
+    text = " ".join(["over the old moon"] * 5_000)
+    assert rows(got) == [(1, text), (2, ""), (3, "moon")]
+    plan = got._jdf.queryExecution().optimizedPlan().toString()
+    assert "array_distinct" in plan and "posexplode" not in plan
+
+
+def test_decode_by_join_merges_rows_of_one_key(spark, toy_vocab):
+    """As it always was: rows of one key are read place by place, tokens in their order."""
+    df = spark.createDataFrame([(1, [9, 8]), (1, [7, 5, 10]), (None, [8])], "n int, ids array<int>")
+    got = wordpiece.decode_by_join(df, "n", "ids", toy_vocab)
+    assert rows(got) == [(1, "over snowberg moon the"), (None, "moon")]
+
+
 def test_vocabulary_bounds(spark, toy_vocab):
     with pytest.raises(ValueError, match="more than 13"):
         wordpiece.shared_vocab(toy_vocab, limit=13)
