@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from ..config import materialize
 from ..functions.embedder import to_matrix, unit_rows
-from .knn import ANGLE_SLACK, HITS, KnnSettings, knn, search_blocks, top_k
+from .knn import ANGLE_SLACK, HITS, KnnSettings, knn, search_blocks
 
 # Points the centres are fitted on, rounds of fitting, and bytes of all centres.
 SAMPLE, ROUNDS, CENTRE_BYTES = 16_384, 8, 16 << 20
@@ -151,17 +151,48 @@ class InvertedLists:
         asked = profiles.select("userId", "profile", F.lit(0).cast("bigint").alias("floor"), visit("profile").alias("_v"))
         asked = materialize(asked.select("userId", "profile", "floor", "_v.blocks", "_v.rest"), "probes")
         hits = search_blocks(asked.drop("rest"), self.points, k, self.dim, settings)
-        hits = materialize(top_k(hits, k), "approximate")
+        hits = materialize(hits, "approximate")
         last = hits.groupBy("userId").agg(F.min("cosine").alias("least"), F.count("*").alias("n"))
         whole = (F.col("rest") < F.col("least")) & (F.col("n") >= k) | (F.col("rest") < -1.5)
         sure = asked.select("userId", "rest").join(last, "userId", "left")
         return hits, sure.select("userId", F.coalesce(whole, F.lit(False)).alias("exact"))
 
 
+def _packed(hits: DataFrame) -> DataFrame:
+    """``userId, ids``: 64-bit hashes of a user's points, a row for each run of its hits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            users = batch.column("userId").dictionary_encode(null_encoding="encode")
+            code, ids = users.indices.to_numpy(), batch.column("id").to_numpy()
+            order = np.argsort(code, kind="stable")
+            ends = np.cumsum(np.bincount(code, minlength=len(users.dictionary)))
+            packed = [x.tobytes() for x in np.split(ids[order], ends[:-1])]
+            yield pa.RecordBatch.from_arrays(
+                [users.dictionary.cast(pa.string()), pa.array(packed, pa.binary())], names=["userId", "ids"]
+            )
+
+    return hits.select("userId", F.xxhash64("point_id").alias("id")).mapInArrow(run, "userId string, ids binary")
+
+
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
-    """``hits, found, recall``: how many of the exact hits are among the approximate ones."""
-    both = exact.select("userId", "point_id").join(
-        found.select("userId", "point_id", F.lit(1).alias("seen")), ["userId", "point_id"], "left"
+    """``hits, found, recall``: how many of the exact hits are among the approximate ones.
+
+    Points are told apart by 64-bit hashes; a user's are compared as two lists, not as rows.
+    """
+
+    def compare(exact: pa.Table, found: pa.Table) -> pa.Table:
+        (ids, n), (own, times) = (
+            np.unique(np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64), return_counts=True)
+            for t in (exact, found)
+        )
+        seen = np.zeros(len(ids), np.int64)
+        both, at, there = np.intersect1d(ids, own, assume_unique=True, return_indices=True)
+        seen[at] = times[there]
+        return pa.table({"hits": [int((n * np.maximum(seen, 1)).sum())], "found": [int((n * seen).sum())]})
+
+    each = _packed(exact).groupBy("userId").cogroup(_packed(found).groupBy("userId"))
+    total = each.applyInArrow(compare, "hits long, found long").agg(
+        *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in ("hits", "found")]
     )
-    total = both.agg(F.count("*").alias("hits"), F.count("seen").alias("found"))
     return total.withColumn("recall", F.col("found") / F.col("hits"))
