@@ -1,6 +1,7 @@
 import json
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from engine_helpers import rows
 from pyspark.sql import functions as F
@@ -215,3 +216,28 @@ def test_mean_combines_a_hot_user_before_the_shuffle(spark):
     ids = np.arange(0, 2000, 3)
     assert profile_.interestCount == len(ids)
     assert profile_.profile == pytest.approx(np.array([ids.mean(), 1]) / np.hypot(ids.mean(), 1), abs=1e-6)
+
+
+def test_partial_sums_hold_little_however_many_users():
+    """As many users as rows: what a task holds stays small, and nothing is lost."""
+    dim, peak = 64, []
+    base = pa.total_allocated_bytes()
+
+    def batches():
+        for i in range(30):
+            peak.append(pa.total_allocated_bytes() - base)
+            users = pa.array([f"u{j}" for j in range(i * 5000, i * 5000 + 5000)])
+            flat = pa.array(np.ones(5000 * dim, np.float32))
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(5001, dtype=np.int32) * dim), flat)
+            yield pa.RecordBatch.from_arrays([users, lists], names=["userId", "embedding"])
+
+    got = 0
+    for sums in profile._partial_sums(batches(), dim):
+        got += len(sums)
+        assert set(sums.column("n").to_pylist()) == {1}
+    assert got == 150_000 and max(peak) < 16 << 20
+    same = pa.RecordBatch.from_arrays(
+        [pa.array(["a"] * 20_000), pa.array([[1.0, 2.0]] * 20_000, pa.list_(pa.float32()))], names=["userId", "embedding"]
+    )
+    (one,) = profile._partial_sums(iter([same] * 3), 2)
+    assert one.to_pylist() == [{"userId": "a", "n": 60_000, "lo": 2, "hi": 2, "total": [60_000.0, 120_000.0]}]
