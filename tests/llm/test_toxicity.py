@@ -78,3 +78,23 @@ def test_held_out_labels(spark, sf):
     # Some labels of these data fit no word of their text.
     assert sum(toxic) / len(toxic) >= 0.75
     assert sum(calm) / len(calm) <= 0.06
+
+
+def test_workers_give_back_what_tasks_held(monkeypatch):
+    """A worker that waits for its next task keeps nothing of the last one, ended early or not."""
+    from plumefeed.llm import textops
+
+    calls = []
+    monkeypatch.setattr(textops, "give_back", lambda: calls.append(1))
+    run = textops._giving_back(lambda batches: (2 * b for b in batches))
+    assert list(run(iter([1, 2]))) == [2, 4] and calls == [1]
+    early = run(iter([1, 2]))
+    assert next(early) == 2
+    early.close()
+    assert calls == [1, 1]
+
+
+def test_giving_back_works_here():
+    from plumefeed.llm import textops
+
+    textops.give_back()
