@@ -207,3 +207,16 @@ def test_tally_equals_counting_whatever_the_alphabet():
             sum(n * v for g, v in enumerate(values.tolist()) for (r, f, m), n in [((i, int(tally.far[g]), int(tally.gram[g])), expected[i, int(tally.far[g]), int(tally.gram[g])])])
             for i in range(len(texts))
         ]
+
+
+@pytest.mark.parametrize("n", [0, 1, 2, 5_000])
+def test_hashes_and_values_are_stored_in_less_than_their_bytes(n):
+    rng = np.random.default_rng(n)
+    hashes = np.unique(rng.integers(0, 1 << 63, n).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    raw = nb._packed_hashes(hashes)
+    assert nb._unpacked_hashes(raw, n).tolist() == hashes.tolist()
+    values = np.where(rng.random(n) < 0.8, nb.NONE, rng.integers(-9_000, 0, n)).astype(np.int16)
+    packed = nb._packed(values)
+    assert nb._unpacked(packed, n, np.int16).tolist() == values.tolist()
+    if n > 100:
+        assert len(raw) < 7 * n and len(packed) < n
