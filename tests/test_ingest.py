@@ -328,6 +328,22 @@ def test_texts_and_ids_are_handled_in_bounded_steps(monkeypatch):
     assert max(len(s) for s in steps) < len(texts) // 2 and sum(map(len, steps)) == len(texts)
 
 
+@pytest.mark.parametrize("most", [None, 9, 40])
+@pytest.mark.parametrize("special", [True, False])
+def test_a_long_text_is_encoded_in_pieces(monkeypatch, most, special):
+    tokens = "[PAD] [UNK] [CLS] [SEP] [MASK] moon snow ##berg ##s old , \u4e16 a ##a".split()
+    model = wordpiece._tokenizer(tokens, most)
+    texts = ["old moon, snowbergs  \u4e16\n snow" * 9, "a" * 150 + " moon", " " * 60, "moon", None, "x" * 60, "old\tmoon \x00" * 20]
+    whole = [None if t is None else model.encode(t, add_special_tokens=special).ids for t in texts]
+    monkeypatch.setattr(wordpiece, "STEP_BYTES", 20)
+    calls = []
+    pieces = wordpiece._pieces_of
+    monkeypatch.setattr(wordpiece, "_pieces_of", lambda t: (calls.append(len(p)) or p for p in pieces(t)))
+    got = pa.chunked_array(list(wordpiece._encode_all(model, pa.array(texts), special))).to_pylist()
+    assert got == whole
+    assert "".join(pieces(texts[0])) == texts[0] and calls.count(150) == 1 and sorted(calls)[-3] <= 20
+
+
 def test_encode_then_decode(spark, toy_vocab):
     tokens = wordpiece.shared_vocab(toy_vocab)
     encode, decode = wordpiece.encoder(spark, tokens), wordpiece.decoder(spark, tokens)
