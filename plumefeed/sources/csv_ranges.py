@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import Window as W
 
-from ..config import materialize
+from ..config import materialize, small_batches
 
 CUT = ["_file", "_start"]
 PARSER = {"escape": '"', "multiLine": "true"}
@@ -227,6 +227,7 @@ def read_records(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     at the end of a record and kept inside a field. Blank lines between records are skipped.
     A field that is never closed runs to the end of its file.
     """
+    small_batches(spark)
     # The line feed is named, or a carriage return inside a field would end a line.
     lines = spark.read.option("lineSep", "\n").text(path).select(
         "value",

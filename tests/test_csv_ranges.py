@@ -2,6 +2,7 @@
 
 import random
 
+import pyarrow as pa
 import pytest
 from engine_helpers import rows
 
@@ -137,3 +138,28 @@ def test_empty_places(spark, tmp_path):
     (tmp_path / "e.csv").write_bytes(b"")
     got = files.read_posts_csv(spark, str(tmp_path))
     assert got.collect() == [] and set(CSV_COLUMNS) <= set(got.columns)
+
+
+def test_lines_travel_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """Also in the first pass, whatever the session had before."""
+    name, seen = "spark.sql.execution.arrow.maxBytesPerBatch", []
+    before = spark.conf.get(name)
+    summary = csv_ranges._summary
+
+    def counted(lines):
+        def run(batches):
+            for b in batches:
+                yield pa.RecordBatch.from_arrays([pa.array([b.nbytes])], names=["bytes"])
+
+        seen.extend(r.bytes for r in lines.mapInArrow(run, "bytes long").collect())
+        return summary(lines)
+
+    (tmp_path / "long.csv").write_text("id,name\n" + "".join(f"{i},{'x' * 5000}\n" for i in range(2000)))
+    monkeypatch.setattr(csv_ranges, "_summary", counted)
+    spark.conf.unset(name)
+    try:
+        records, _ = csv_ranges.read_records(spark, str(tmp_path / "long.csv"))
+        assert records.count() == 2000
+    finally:
+        spark.conf.set(name, before)
+    assert max(seen) < 4 << 20
