@@ -5,7 +5,7 @@ import pytest
 from engine_helpers import rows
 from pyspark.sql import functions as F
 
-from plumefeed.plans import tables
+from plumefeed.plans import catalog, tables
 
 
 @pytest.fixture
@@ -41,6 +41,14 @@ def test_vocabulary_has_every_character(spark, documents):
     assert sorted(r.token for r in found[5:]) == sorted([*chars, *(f"##{c}" for c in chars)])
 
 
+def test_one_worker_a_task_while_ids_are_decoded(spark, documents):
+    at = documents(["one two", None, ""])
+    found = catalog.decode_tokens(spark, at)
+    assert rows(found, "doc_id", "text") == [(1, "one two"), (2, None), (3, "")]
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1
+
+
 def test_vocabulary_leaves_python_as_different_characters():
     batch = pa.RecordBatch.from_arrays([pa.array(["aab", None, "b c"])], names=["text"])
     assert [b.column("c").to_pylist() for b in tables._characters(iter([batch]))] == [["a", "b", "c"]]
