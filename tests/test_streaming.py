@@ -81,6 +81,19 @@ def test_exact_mode_keeps_late_posts_and_never_repeats(spark, toy_vocab, tmp_pat
     assert sum(r.late_rows for r in progress_frame(spark, query).collect()) == 0
 
 
+def test_exact_mode_loses_nothing_to_event_time(spark, toy_vocab, tmp_path):
+    """Neither if no rule prunes columns, nor by times that no timestamp can hold."""
+    base, name = str(tmp_path), "spark.sql.optimizer.excludedRules"
+    late_world(base)
+    drop(f"{base}/in", 5, record("far", 10**14))
+    spark.conf.set(name, "org.apache.spark.sql.catalyst.optimizer.ColumnPruning")
+    try:
+        run(spark, toy_vocab, base)
+    finally:
+        spark.conf.unset(name)
+    assert output(spark, base, "tweetId") == [("a",), ("b",), ("c",), ("far",), ("late",)]
+
+
 def test_bounded_mode_forgets_and_drops(spark, toy_vocab, tmp_path):
     base = str(tmp_path)
     late_world(base)
