@@ -14,6 +14,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -21,6 +22,8 @@ from ..config import materialize
 from ..functions.embedder import to_matrix, unit_rows
 from .knn import ANGLE_SLACK, HITS, KnnSettings, knn, search_blocks
 
+# Groups of users that are compared together.
+PARTS = 1 << 12
 # Points the centres are fitted on, rounds of fitting, and bytes of all centres.
 SAMPLE, ROUNDS, CENTRE_BYTES = 16_384, 8, 16 << 20
 
@@ -175,23 +178,31 @@ def _packed(hits: DataFrame) -> DataFrame:
     return hits.select("userId", F.xxhash64("point_id").alias("id")).mapInArrow(run, "userId string, ids binary")
 
 
+def _parted(hits: DataFrame) -> DataFrame:
+    return _packed(hits).withColumn("part", F.pmod(F.xxhash64("userId"), F.lit(PARTS)))
+
+
 def recall(found: DataFrame, exact: DataFrame) -> DataFrame:
     """``hits, found, recall``: how many of the exact hits are among the approximate ones.
 
-    Points are told apart by 64-bit hashes; a user's are compared as two lists, not as rows.
+    Points are told apart by 64-bit hashes; a user's are compared as two lists, not as rows,
+    and the lists of many users at once.
     """
 
     def compare(exact: pa.Table, found: pa.Table) -> pa.Table:
-        (ids, n), (own, times) = (
-            np.unique(np.frombuffer(b"".join(t.column("ids").to_pylist()), np.int64), return_counts=True)
-            for t in (exact, found)
-        )
-        seen = np.zeros(len(ids), np.int64)
-        both, at, there = np.intersect1d(ids, own, assume_unique=True, return_indices=True)
-        seen[at] = times[there]
+        both = pa.concat_tables([t.select(["userId", "ids"]) for t in (exact, found)]).combine_chunks()
+        code = both.column("userId").combine_chunks().dictionary_encode(null_encoding="encode").indices.to_numpy()
+        size = pc.fill_null(pc.binary_length(both.column("ids")), 0).to_numpy() // 8
+        user = np.repeat(code, size)
+        ids = np.frombuffer(b"".join(both.column("ids").to_pylist()), np.int64)
+        mine = np.arange(len(ids)) < size[: len(exact)].sum()
+        order = np.lexsort((ids, user))
+        user, ids, mine = user[order], ids[order], mine[order]
+        new = np.flatnonzero(np.append(True, (user[1:] != user[:-1]) | (ids[1:] != ids[:-1]))[: len(ids)])
+        n, seen = (np.add.reduceat(x.astype(np.int64), new) if len(new) else new for x in (mine, ~mine))
         return pa.table({"hits": [int((n * np.maximum(seen, 1)).sum())], "found": [int((n * seen).sum())]})
 
-    each = _packed(exact).groupBy("userId").cogroup(_packed(found).groupBy("userId"))
+    each = _parted(exact).groupBy("part").cogroup(_parted(found).groupBy("part"))
     total = each.applyInArrow(compare, "hits long, found long").agg(
         *[F.coalesce(F.sum(c), F.lit(0).cast("long")).alias(c) for c in ("hits", "found")]
     )

@@ -74,3 +74,17 @@ def test_odd_tables(spark):
     found, sure = ivf.InvertedLists.build(few, DIM).search(users, K, 1)
     assert rows(found) == rows(knn(users, few, K, DIM))
     assert {r.exact for r in sure.collect()} == {True}
+
+
+def test_recall_compares_many_users_at_once(spark, monkeypatch):
+    """Equal to a join of the rows, with users on one side only and pairs that come twice."""
+    monkeypatch.setattr(ivf, "PARTS", 2)
+    rng = np.random.default_rng(12)
+    pairs = lambda n: [(f"u{u}", f"p{p}", 0.5) for u, p in rng.integers(0, 12, (n, 2)).tolist()]
+    schema = "userId string, point_id string, cosine double"
+    exact, found = pairs(90) + [("alone", "p1", 0.5)], pairs(60) + [("other", "p1", 0.5)]
+    key = lambda r: r[:2]
+    seen = [sum(key(f) == key(e) for f in found) for e in exact]
+    got = ivf.recall(spark.createDataFrame(found, schema), spark.createDataFrame(exact, schema)).first()
+    assert (got.hits, got.found) == (sum(max(s, 1) for s in seen), sum(seen))
+    assert ivf._parted(spark.createDataFrame(exact, schema)).select("part").distinct().count() <= 2
